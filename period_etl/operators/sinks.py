@@ -19,6 +19,7 @@ Spark splits skewed keys and merges small ones there.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -100,6 +101,20 @@ def write_partitioned(df: DataFrame, path: str, key: str = "period",
 
 # --- catalog tables -------------------------------------------------------
 
+@contextmanager
+def _scoped_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for one statement and put the old value back."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K8: create the database if missing (optionally at a shared location)."""
     loc = f" LOCATION '{location}'" if location else ""
@@ -140,8 +155,11 @@ def write_table(df: DataFrame, table: str, key: str = "period", mode: str = "app
         missing = sorted(set(cols) - set(clean.columns))
         if missing:
             raise ValueError(f"columns {missing} of {table} missing from input")
-        w = clean.select(*cols).write.option("partitionOverwriteMode", "dynamic")
+        w = clean.select(*cols).write
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", int(max_records_per_file))
-        w.insertInto(table, overwrite=True)
+        # insertInto is positional (hence the select) and ignores a writer
+        # option for the overwrite mode, so the session setting is scoped.
+        with _scoped_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            w.insertInto(table, overwrite=True)
     return WriteReport(table, True, obs)
