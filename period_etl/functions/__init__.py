@@ -3,6 +3,7 @@ from period_etl.functions.periods import (
     PeriodError,
     date_col,
     entry_name_col,
+    landing_period_col,
     last_segment,
     month_key_col,
     parse_period,
@@ -17,6 +18,7 @@ __all__ = [
     "PeriodError",
     "date_col",
     "entry_name_col",
+    "landing_period_col",
     "last_segment",
     "month_key_col",
     "parse_period",

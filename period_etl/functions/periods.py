@@ -78,14 +78,31 @@ def entry_name_col(file_path: Column, root: str) -> Column:
     Spark part-file name such as ``part-00000-12ab.parquet`` is never looked
     at, which keeps ``0000-12`` from being read as a period.
     """
-    # Spark reports file paths as URIs: escape the root the same way.
-    key = quote(strip_scheme(root) + "/", safe="/:@!$&'()*+,;=-._~")
+    key = _uri_key(root)
     pos = F.instr(file_path, key)
     rest = F.substring(file_path, pos + F.lit(len(key)), F.lit(1 << 30))
     name = F.substring_index(rest, "/", 1)
     return F.when(pos > 0, name)
 
 
+def _uri_key(root: str) -> str:
+    # Spark reports file paths as URIs: escape the root the same way.
+    return quote(strip_scheme(root) + "/", safe="/:@!$&'()*+,;=-._~")
+
+
+def landing_period_col(file_path: Column, root: str) -> Column:
+    """P5 + P6 per row in one regex: first ``YYYY-MM`` in the entry's name.
+
+    The pattern is anchored on the root, and ``[^/]*?`` keeps the search
+    inside the first segment under it (the entry) and finds its leftmost
+    period, so part-file names are never searched. One small regex keeps the
+    generated code compact; entries are checked on the driver beforehand, so
+    a miss (empty string) cannot occur for a listed entry.
+    """
+    pattern = re.escape(_uri_key(root)) + r"[^/]*?(" + PERIOD_PATTERN + ")"
+    return F.regexp_extract(file_path, pattern, 1)
+
+
 def period_col(name: Column) -> Column:
     """P6 per row: first ``YYYY-MM`` in ``name``; raises when there is none."""
     hit = F.regexp_substr(name, F.lit(PERIOD_PATTERN))

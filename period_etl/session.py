@@ -20,6 +20,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # One machine: list files on the driver instead of in a listing job.
+    # Clusters keep Spark's default (a distributed listing above 32 paths).
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
 }
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from period_etl.functions.periods import (
     PeriodError,
     entry_name_col,
+    landing_period_col,
     period_col,
     period_from_name,
     strip_scheme,
@@ -94,9 +95,26 @@ def list_landing(spark: SparkSession, root: str,
     return list(chosen.values())
 
 
-def tag_period(df: DataFrame, root: str, file_path_col: str) -> DataFrame:
-    """Replace a file-path column with the row's landing period (P5 + P6)."""
-    period = period_col(entry_name_col(F.col(file_path_col), root))
+def qualify(spark: SparkSession, root: str) -> str:
+    """The root as a fully qualified URI (relative paths made absolute)."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        return fs.makeQualified(hpath).toString()
+    except Exception:  # pragma: no cover - remote session
+        return root
+
+
+def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = True) -> DataFrame:
+    """Replace a file-path column with the row's landing period (P5 + P6).
+
+    ``checked=False`` is for files of entries already validated on the
+    driver: one regex per row. ``checked=True`` (files of unknown entries,
+    e.g. a file stream) raises on an entry name without a period.
+    """
+    fp = F.col(file_path_col)
+    period = period_col(entry_name_col(fp, root)) if checked else landing_period_col(fp, root)
     return df.withColumn("period", period).drop(file_path_col)
 
 
@@ -105,11 +123,12 @@ def read_landing(spark: SparkSession, root: str,
                  on_duplicate: str = "error",
                  **options: str) -> DataFrame:
     """S2: every landing entry in one scan, plus a ``period`` string column."""
+    root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
     df = spark.read.options(**options).parquet(*[e.path for e in chosen])
     # Take only file_path out of _metadata right at the scan.
     df = df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
-    return tag_period(df, root, _FILE_PATH)
+    return tag_period(df, root, _FILE_PATH, checked=False)
 
 
 def landing_periods(entries: Iterable[LandingEntry]) -> list[str]:
