@@ -164,6 +164,19 @@ def q14_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, storage, "orders", "analytics")
 
 
+def q15_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension: the landing set as a file stream (available-now), clean store."""
+    from period_etl.streaming import stream_landing
+
+    base, land = _landing(spark, sf_dir, "q15")
+    storage = Storage(root=f"{base}/out")
+    schema = scan_parquet(spark, _t(sf_dir, "orders")).schema
+    query = stream_landing(spark, land, schema, "o_orderdate", storage, "orders",
+                           f"{base}/checkpoint", analytics=False)
+    query.awaitTermination()
+    return read_stage(spark, storage, "orders", "clean")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -179,6 +192,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q12_daily_rollup": q12_daily_rollup,
     "q13_load_counts": q13_load_counts,
     "q14_append_rerun": q14_append_rerun,
+    "q15_stream_landing": q15_stream_landing,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -216,6 +230,7 @@ _ORACLE = {
     "q14_append_rerun": (
         f"SELECT date, period, total_trips FROM ({_DAILY}) "
         f"UNION ALL SELECT date, period, 2 * total_trips AS total_trips FROM ({_DAILY})"),
+    "q15_stream_landing": _Q04,
 }
 
 
