@@ -24,7 +24,12 @@ from period_etl.operators.sinks import (
     write_table,
 )
 from period_etl.sources.landing import list_landing, read_landing
-from period_etl.sources.parquet import key_filter, read_partitioned, scan_parquet
+from period_etl.sources.parquet import (
+    key_filter,
+    read_partitioned,
+    scan_parquet,
+    stored_values,
+)
 
 KEY = "period"
 
@@ -108,10 +113,19 @@ def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Stor
 
 # --- analytics ------------------------------------------------------------
 
-def _run_filter(df: DataFrame, periods: Sequence[str], from_min: bool) -> DataFrame:
-    if from_min:
-        return df.filter(F.col(KEY) >= F.lit(min(periods)))
-    return key_filter(df, KEY, list(periods))
+def _run_clean(spark: SparkSession, storage: Storage, data_id: str,
+               periods: Sequence[str], from_min: bool) -> DataFrame:
+    """Stored clean rows of the run's periods (or of every period from the
+    run's earliest on), read through partition pruning."""
+    if not from_min:
+        return read_stage(spark, storage, data_id, "clean", list(periods))
+    if not storage.tables:
+        stored = stored_values(spark, storage.target(data_id, "clean"), KEY)
+        if stored is not None:
+            later = [p for p in stored if p >= min(periods)] or list(periods)
+            return read_stage(spark, storage, data_id, "clean", later)
+    clean = read_stage(spark, storage, data_id, "clean")
+    return clean.filter(F.col(KEY) >= F.lit(min(periods)))
 
 
 def analytics_frame(spark: SparkSession, storage: Storage, data_id: str,
@@ -121,8 +135,7 @@ def analytics_frame(spark: SparkSession, storage: Storage, data_id: str,
 
     The period filter prunes partitions and only ``ts_col`` is read.
     """
-    clean = read_stage(spark, storage, data_id, "clean")
-    return daily_counts(_run_filter(clean, periods, from_min), ts_col)
+    return daily_counts(_run_clean(spark, storage, data_id, periods, from_min), ts_col)
 
 
 @dataclass
@@ -153,7 +166,7 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
     """
     for p in periods:
         parse_period(p)
-    clean = _run_filter(read_stage(spark, storage, data_id, "clean"), periods, from_min)
+    clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = (clean.select(F.to_date(F.col(ts_col)).alias("date"), KEY)
                .groupBy("date", KEY)
                .agg(F.count("date").cast("bigint").alias("total_trips"),

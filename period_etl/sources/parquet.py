@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,17 +41,62 @@ def key_filter(df: DataFrame, key: str, values: str | Iterable[str] | None) -> D
     return df.filter(F.col(key).isin(vals))
 
 
+def partition_values(spark: SparkSession, path: str, key: str) -> dict[str, str] | None:
+    """``{value: directory}`` of the ``key=value`` folders directly under ``path``.
+
+    One directory listing on the driver (names only, one per period), or
+    None when it cannot be listed here.
+    """
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(hpath):
+            return {}
+        out = {}
+        for status in fs.listStatus(hpath):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(key + "="):
+                out[unquote(name[len(key) + 1:])] = name
+        return out
+    except Exception:  # pragma: no cover - remote session
+        return None
+
+
+def _string_key(df: DataFrame, key: str) -> DataFrame:
+    if key in df.columns and not isinstance(df.schema[key].dataType, StringType):
+        return df.withColumn(key, F.col(key).cast("string"))
+    return df
+
+
 def read_partitioned(spark: SparkSession, path: str, key: str = "period",
                      periods: str | Iterable[str] | None = None,
                      schema: StructType | None = None) -> DataFrame:
     """S3: scan a hive-style dataset, keeping only the given key values.
 
-    The equality (or IN) filter on the partition column lands in
-    ``PartitionFilters``, so only matching directories are listed and read.
-    A key Spark inferred as a number is read back as a string, the only
-    legal key type.
+    With ``periods`` given, only those ``key=value`` folders are listed and
+    read (``basePath`` keeps ``key`` as a column), so the cost of a run's
+    read follows the run, not the dataset's history; the equality (or IN)
+    filter still shows as ``PartitionFilters``. A key Spark inferred as a
+    number is read back as a string, the only legal key type.
     """
-    df = scan_parquet(spark, path, schema=schema)
-    if key in df.columns and not isinstance(df.schema[key].dataType, StringType):
-        df = df.withColumn(key, F.col(key).cast("string"))
-    return key_filter(df, key, periods)
+    wanted = _as_list(periods)
+    if wanted is None:
+        return _string_key(scan_parquet(spark, path, schema=schema), key)
+    folders = partition_values(spark, path, key)
+    if folders:
+        hits = [folders[v] for v in dict.fromkeys(wanted) if v in folders]
+        if hits:
+            base = path.rstrip("/")
+            df = scan_parquet(spark, *[f"{base}/{h}" for h in hits],
+                              schema=schema, basePath=base)
+            return key_filter(_string_key(df, key), key, wanted)
+    # Nothing to narrow to (or not listable): the pruned scan of the whole
+    # dataset gives the same rows, an empty frame when none match.
+    return key_filter(_string_key(scan_parquet(spark, path, schema=schema), key), key, wanted)
+
+
+def stored_values(spark: SparkSession, path: str, key: str = "period") -> list[str] | None:
+    """Key values present in a hive-style dataset (sorted), None if unknown."""
+    folders = partition_values(spark, path, key)
+    return None if folders is None else sorted(folders)

@@ -116,3 +116,13 @@ def test_max_records_per_file(spark, scratch):
     files = glob.glob(out.replace("file:", "") + "/period=2025-01/*.parquet")
     assert len(files) == 4
     assert read_partitioned(spark, out).count() == 1000
+
+
+def test_pruned_read_lists_only_wanted_folders(spark, scratch):
+    out = f"{scratch}/ds"
+    write_partitioned(keyed(spark).filter("period is not null"), out)
+    df = read_partitioned(spark, out, periods=["2025-02", "1999-01"])
+    assert all("period=2025-02" in f for f in df.inputFiles())
+    assert [tuple(r) for r in df.collect()] == [(3, "2025-02")]
+    assert df.columns == ["id", "period"]
+    assert read_partitioned(spark, out, periods="1999-01").count() == 0
