@@ -161,8 +161,8 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
 
     The aggregate also counts all loaded rows per day; that small table
     (bounded by calendar days) is handed back as an observed metric, which
-    gives A2 without a second pass. The result is grouped into one task per
-    period before the write: one file per period, never more rows than days.
+    gives A2 without a second pass. The result is hashed by period before
+    the write: one file per period, never more rows than days.
     """
     for p in periods:
         parse_period(p)
@@ -173,7 +173,11 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
                     F.count(F.lit(1)).alias("n_rows")))
     obs = Observation("loaded_rows")
     per_day = per_day.observe(obs, F.collect_list(F.struct(KEY, "n_rows")).alias("day_rows"))
-    out = per_day.select("date", KEY, "total_trips").repartition(KEY)
+    # Tiny, calendar-bounded output: spread its periods over at most one
+    # task per period (an explicit count, so AQE does not fold every
+    # period's file into a single writing task).
+    tasks = max(1, min(len(set(periods)), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    out = per_day.select("date", KEY, "total_trips").repartition(tasks, KEY)
     return AnalyticsReport(write_stage(out, storage, data_id, "analytics", mode), obs)
 
 
