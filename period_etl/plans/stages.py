@@ -166,6 +166,16 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
     """
     for p in periods:
         parse_period(p)
+    target = storage.target(data_id, "analytics")
+    if not storage.tables:
+        stored = stored_values(spark, storage.target(data_id, "clean"), KEY)
+        wanted = set(periods)
+        if stored is not None and not [p for p in stored
+                                       if (p >= min(periods) if from_min else p in wanted)]:
+            # No clean rows stored for these periods: nothing to count.
+            return AnalyticsReport(WriteReport(target, written=False))
+    elif not table_exists(spark, storage.target(data_id, "clean")):
+        return AnalyticsReport(WriteReport(target, written=False))
     clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = (clean.select(F.to_date(F.col(ts_col)).alias("date"), KEY)
                .groupBy("date", KEY)

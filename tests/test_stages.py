@@ -108,3 +108,18 @@ def test_plans(spark, scratch, landing):
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text
     a.collect()
     assert plan(a).count("Exchange") == 1 or "ShuffleQueryStage" in plan(a)
+
+
+@pytest.mark.parametrize("mode", ["path", "table"])
+def test_run_with_no_rows_in_month(spark, scratch, trips, mode):
+    root = f"{scratch}/landing"
+    # every row of this entry lies outside March 2025
+    trips.coalesce(1).write.parquet(f"{root}/trips_2025-03.parquet")
+    storage = (Storage(root=f"{scratch}/out") if mode == "path"
+               else Storage(namespace=unique_name("empty"), location=f"{scratch}/wh"))
+    result = run_all(spark, root, "ts", storage, "trips")
+    assert result.periods == ["2025-03"]
+    assert not result.analytics.write.written
+    assert result.loaded_rows == {}
+    if mode == "table":
+        assert not spark.catalog.tableExists(storage.target("trips", "clean"))
