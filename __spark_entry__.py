@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from period_etl import (  # noqa: E402
     Storage,
     analytics_period,
@@ -23,6 +25,7 @@ from period_etl import (  # noqa: E402
     clean_frame,
     clean_period,
     daily_counts,
+    ensure_namespace,
     filter_by_period,
     load_counts,
     read_landing,
@@ -32,7 +35,9 @@ from period_etl import (  # noqa: E402
     scan_parquet,
     write_table,
 )
+from period_etl.functions import month_key_col, period_key_col  # noqa: E402
 from period_etl.session import scratch_dir, unique_name  # noqa: E402
+from period_etl.streaming import stream_landing  # noqa: E402
 from period_etl.testing import make_landing  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -98,7 +103,6 @@ def q08_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "q08")
     storage = _tables(spark, base)
     table = storage.target("orders", "clean")
-    from period_etl.operators.sinks import ensure_namespace
     ensure_namespace(spark, storage.namespace, storage.location)
     rows = q02_clean_one_period(spark, sf_dir)
     write_table(rows, table)                                   # creates the table
@@ -123,13 +127,8 @@ def q10_rerun_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q11_null_key_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows outside their entry's month get a null period; the table sink drops them."""
-    from pyspark.sql import functions as F
-
-    from period_etl.functions.periods import month_key_col, period_key_col
-
     base, land = _landing(spark, sf_dir, "q11")
     storage = _tables(spark, base)
-    from period_etl.operators.sinks import ensure_namespace
     ensure_namespace(spark, storage.namespace, storage.location)
     tagged = read_landing(spark, land)
     own = month_key_col(F.col("o_orderdate")) == period_key_col(F.col("period"))
@@ -166,8 +165,6 @@ def q14_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q15_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extension: the landing set as a file stream (available-now), clean store."""
-    from period_etl.streaming import stream_landing
-
     base, land = _landing(spark, sf_dir, "q15")
     storage = Storage(root=f"{base}/out")
     schema = scan_parquet(spark, _t(sf_dir, "orders")).schema

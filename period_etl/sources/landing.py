@@ -22,6 +22,7 @@ from period_etl.functions.periods import (
     PeriodError,
     entry_name_col,
     landing_period_col,
+    last_segment,
     period_col,
     period_from_name,
     strip_scheme,
@@ -70,7 +71,8 @@ def list_landing(spark: SparkSession, root: str,
                  on_duplicate: str = "error") -> list[LandingEntry]:
     """Entries of a landing set with their periods, one per period.
 
-    ``entries`` are names under ``root`` in priority order (later wins);
+    ``entries`` are names under ``root`` (or URLs / paths, whose last
+    segment is the name) in priority order (later wins);
     when omitted, all visible children of ``root`` are used in name order.
     Two entries with one period raise ``ValueError`` unless
     ``on_duplicate="last"``, which keeps the later entry only.
@@ -80,10 +82,10 @@ def list_landing(spark: SparkSession, root: str,
     names = list(entries) if entries is not None else list_entry_names(spark, root)
     base = root.rstrip("/")
     chosen: dict[str, LandingEntry] = {}
-    for name in names:
-        if "/" in name.strip("/"):
-            raise ValueError(f"entry {name!r} must be a direct child of the root")
-        name = name.strip("/")
+    for given in names:
+        # A URL or path names the entry by its last segment (P5), which is
+        # where a downloaded file sits under the landing root.
+        name = last_segment(given)
         period = period_from_name(name)
         if period in chosen and on_duplicate == "error":
             raise ValueError(

@@ -82,3 +82,12 @@ def test_list_landing_skips_hidden(spark, trips, scratch):
     write_entry(trips, f"{root}/trips_2025-01.parquet")
     write_entry(trips, f"{root}/_tmp_2025-02.parquet")
     assert [e.period for e in list_landing(spark, root)] == ["2025-01"]
+
+
+def test_entries_given_as_urls(spark, trips, scratch):
+    root = f"{scratch}/landing"
+    write_entry(trips.filter("id = 1"), f"{root}/trips_2025-01.parquet")
+    write_entry(trips.filter("id = 3"), f"{root}/trips_2025-02.parquet")
+    urls = ["https://example.invalid/data/trips_2025-02.parquet"]
+    df = read_landing(spark, root, entries=urls)
+    assert [(r.id, r.period) for r in df.collect()] == [(3, "2025-02")]
