@@ -34,7 +34,12 @@ from period_etl.plans.stages import (
     read_stage,
     run_all,
 )
-from period_etl.sources.landing import LandingEntry, list_landing, read_landing
+from period_etl.sources.landing import (
+    LandingEntry,
+    list_landing,
+    read_landing,
+    read_landing_clean,
+)
 from period_etl.sources.parquet import key_filter, read_partitioned, scan_parquet
 from period_etl.sources.tables import read_table
 
@@ -46,6 +51,6 @@ __all__ = [
     "write_partitioned", "write_table",
     "Storage", "analytics_all", "analytics_frame", "analytics_period", "clean_all",
     "clean_frame", "clean_period", "read_stage", "run_all",
-    "LandingEntry", "list_landing", "read_landing",
+    "LandingEntry", "list_landing", "read_landing", "read_landing_clean",
     "key_filter", "read_partitioned", "scan_parquet", "read_table",
 ]

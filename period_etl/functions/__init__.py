@@ -6,6 +6,7 @@ from period_etl.functions.periods import (
     landing_period_col,
     last_segment,
     month_key_col,
+    month_text_col,
     parse_period,
     period_col,
     period_from_name,
@@ -21,6 +22,7 @@ __all__ = [
     "landing_period_col",
     "last_segment",
     "month_key_col",
+    "month_text_col",
     "parse_period",
     "period_col",
     "period_from_name",

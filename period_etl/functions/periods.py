@@ -123,6 +123,12 @@ def month_key_col(ts: Column) -> Column:
     return F.year(ts) * F.lit(100) + F.month(ts)
 
 
+def month_text_col(ts: Column) -> Column:
+    """``YYYY-MM`` of a timestamp, built from integers (no date formatter)."""
+    return F.concat(F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit("-"),
+                    F.lpad(F.month(ts).cast("string"), 2, "0"))
+
+
 def date_col(ts: Column) -> Column:
     """P9: calendar date of a timestamp; null in, null out."""
     return F.to_date(ts)

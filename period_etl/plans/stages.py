@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from period_etl.functions.periods import parse_period
-from period_etl.operators.clean import clean_tagged, filter_by_period
+from period_etl.operators.clean import filter_by_period
 from period_etl.operators.rollup import daily_counts
 from period_etl.operators.sinks import (
     WriteReport,
@@ -23,7 +23,7 @@ from period_etl.operators.sinks import (
     write_partitioned,
     write_table,
 )
-from period_etl.sources.landing import list_landing, read_landing
+from period_etl.sources.landing import list_landing, read_landing_clean
 from period_etl.sources.parquet import (
     key_filter,
     read_partitioned,
@@ -96,7 +96,7 @@ def clean_frame(spark: SparkSession, landing_root: str, ts_col: str,
                 entries: Sequence[str] | None = None,
                 on_duplicate: str = "error") -> DataFrame:
     """L2 as a frame: every landing entry, cleaned against its own period."""
-    return clean_tagged(read_landing(spark, landing_root, entries, on_duplicate), ts_col)
+    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate)
 
 
 def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,

@@ -23,7 +23,10 @@ from period_etl.functions.periods import (
     entry_name_col,
     landing_period_col,
     last_segment,
+    month_key_col,
+    month_text_col,
     period_col,
+    period_key_col,
     period_from_name,
     strip_scheme,
 )
@@ -120,18 +123,39 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     return df.withColumn("period", period).drop(file_path_col)
 
 
+def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
+          on_duplicate: str, options: dict) -> tuple[DataFrame, str]:
+    root = qualify(spark, root)
+    chosen = list_landing(spark, root, entries, on_duplicate)
+    df = spark.read.options(**options).parquet(*[e.path for e in chosen])
+    # Take only file_path out of _metadata right at the scan.
+    return df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH)), root
+
+
 def read_landing(spark: SparkSession, root: str,
                  entries: Sequence[str] | None = None,
                  on_duplicate: str = "error",
                  **options: str) -> DataFrame:
     """S2: every landing entry in one scan, plus a ``period`` string column."""
-    root = qualify(spark, root)
-    chosen = list_landing(spark, root, entries, on_duplicate)
-    df = spark.read.options(**options).parquet(*[e.path for e in chosen])
-    # Take only file_path out of _metadata right at the scan.
-    df = df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+    df, root = _scan(spark, root, entries, on_duplicate, options)
     return tag_period(df, root, _FILE_PATH, checked=False)
 
 
+def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
+                       entries: Sequence[str] | None = None,
+                       on_duplicate: str = "error",
+                       **options: str) -> DataFrame:
+    """S2 + L2 fused: the landing rows that lie in their own entry's month.
+
+    Same rows as ``clean_tagged(read_landing(...))``, cheaper per row: the
+    path regex runs once, inside the month test, and ``period`` of a kept
+    row is its own ``YYYY-MM`` (equal to its entry's period by the test).
+    """
+    df, root = _scan(spark, root, entries, on_duplicate, options)
+    ts = F.col(ts_col)
+    own = month_key_col(ts) == period_key_col(landing_period_col(F.col(_FILE_PATH), root))
+    return df.filter(own).withColumn("period", month_text_col(ts)).drop(_FILE_PATH)
+
+
 def landing_periods(entries: Iterable[LandingEntry]) -> list[str]:
     return sorted({e.period for e in entries})

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from period_etl import list_landing, read_landing
+from period_etl import clean_tagged, list_landing, read_landing, read_landing_clean
 from period_etl.functions import PeriodError
 
 
@@ -91,3 +91,16 @@ def test_entries_given_as_urls(spark, trips, scratch):
     urls = ["https://example.invalid/data/trips_2025-02.parquet"]
     df = read_landing(spark, root, entries=urls)
     assert [(r.id, r.period) for r in df.collect()] == [(3, "2025-02")]
+
+
+def test_fused_clean_equals_tag_then_clean(spark, trips, scratch):
+    root = f"{scratch}/landing"
+    write_entry(trips.filter("id < 4"), f"{root}/trips_2025-01.parquet")
+    write_entry(trips.filter("id >= 4"), f"{root}/trips_2024-12.parquet")
+    write_entry(trips, f"{root}/x_2024-01_2025-02.parquet")
+    fused = read_landing_clean(spark, root, "ts")
+    plain = clean_tagged(read_landing(spark, root), "ts")
+    assert fused.columns == plain.columns
+    assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0
+    assert sorted((r.id, r.period) for r in fused.collect()) == [
+        (1, "2025-01"), (2, "2025-01"), (4, "2024-12"), (5, "2024-01")]
