@@ -177,10 +177,7 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
     elif not table_exists(spark, storage.target(data_id, "clean")):
         return AnalyticsReport(WriteReport(target, written=False))
     clean = _run_clean(spark, storage, data_id, periods, from_min)
-    per_day = (clean.select(F.to_date(F.col(ts_col)).alias("date"), KEY)
-               .groupBy("date", KEY)
-               .agg(F.count("date").cast("bigint").alias("total_trips"),
-                    F.count(F.lit(1)).alias("n_rows")))
+    per_day = daily_counts(clean, ts_col, KEY, with_row_counts=True)
     obs = Observation("loaded_rows")
     per_day = per_day.observe(obs, F.collect_list(F.struct(KEY, "n_rows")).alias("day_rows"))
     # Tiny, calendar-bounded output: spread its periods over at most one
@@ -216,7 +213,8 @@ def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storag
             from_min: bool = False) -> RunResult:
     """L5: ingest (list the landing set), clean all periods, then analytics.
 
-    Two jobs in all, whatever the number of periods. ``mode`` applies to both
+    Two passes over the data in all (clean, then analytics of the stored
+    clean rows), whatever the number of periods. ``mode`` applies to both
     stages: ``overwrite_partitions`` makes reruns idempotent, ``append``
     keeps the append-only behaviour (a rerun doubles the clean rows and adds
     a second row per day). ``from_min`` recomputes analytics for every
@@ -227,13 +225,3 @@ def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storag
     analytics = analytics_all(spark, storage, data_id, periods, ts_col, mode, from_min)
     return RunResult(periods, clean, analytics)
 
-
-def stage_exists(spark: SparkSession, storage: Storage, data_id: str, stage: str) -> bool:
-    target = storage.target(data_id, stage)
-    if storage.tables:
-        return table_exists(spark, target)
-    try:
-        spark.read.parquet(target).schema  # noqa: B018
-        return True
-    except Exception:
-        return False
