@@ -104,3 +104,11 @@ def test_fused_clean_equals_tag_then_clean(spark, trips, scratch):
     assert fused.exceptAll(plain).count() == 0 and plain.exceptAll(fused).count() == 0
     assert sorted((r.id, r.period) for r in fused.collect()) == [
         (1, "2025-01"), (2, "2025-01"), (4, "2024-12"), (5, "2024-01")]
+
+
+def test_root_with_space_and_relative_entries(spark, trips, scratch):
+    root = f"{scratch}/land ing"
+    write_entry(trips.filter("id < 4"), f"{root}/trips 2025-01.parquet")
+    got = periods_by_id(read_landing(spark, root))
+    assert got == {1: "2025-01", 2: "2025-01", 3: "2025-01"}
+    assert sorted(r.id for r in read_landing_clean(spark, root, "ts").collect()) == [1, 2]
