@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from period_etl.sources.parquet import partition_values
+
 MODES = ("append", "overwrite_partitions", "overwrite")
 
 
@@ -95,6 +97,10 @@ def write_partitioned(df: DataFrame, path: str, key: str = "period",
     obs = None
     if drop_nulls:
         df, obs = drop_null_keys(df, key)
+    if mode == "overwrite_partitions" and partition_values(df.sparkSession, path, key) == {}:
+        # Nothing stored yet: replacing periods is a plain append, without
+        # the staging folder and per-period renames (copies on object stores).
+        mode = "append"
     _writer(_prepare(df, key, rebalance), key, mode, max_records_per_file).save(path)
     return WriteReport(path, True, obs)
 
