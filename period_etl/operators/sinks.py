@@ -60,7 +60,7 @@ def drop_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
 
     The count rides along the write as an observed metric: no second pass.
     """
-    obs = Observation(f"null_keys_{key}")
+    obs = Observation()
     counted = df.observe(obs, F.count_if(F.col(key).isNull()).alias("dropped_null_keys"))
     return counted.filter(F.col(key).isNotNull()), obs
 
@@ -123,7 +123,8 @@ def _scoped_conf(spark: SparkSession, key: str, value: str):
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K8: create the database if missing (optionally at a shared location)."""
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) \
+        if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{loc}")
 
 

@@ -178,7 +178,7 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
         return AnalyticsReport(WriteReport(target, written=False))
     clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = daily_counts(clean, ts_col, KEY, with_row_counts=True)
-    obs = Observation("loaded_rows")
+    obs = Observation()
     per_day = per_day.observe(obs, F.collect_list(F.struct(KEY, "n_rows")).alias("day_rows"))
     # Tiny, calendar-bounded output: spread its periods over at most one
     # task per period (an explicit count, so AQE does not fold every

@@ -51,7 +51,7 @@ def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: s
     clean = clean_tagged(read_landing_stream(spark, root, schema, **options), ts_col)
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
-        obs = Observation(f"periods_{epoch_id}")
+        obs = Observation()
         counted = batch.observe(obs, F.collect_set("period").alias("periods"))
         report = write_stage(counted, storage, data_id, "clean", "append")
         if not (analytics and report.written):
