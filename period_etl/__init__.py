@@ -41,7 +41,7 @@ from period_etl.sources.landing import (
     read_landing_clean,
 )
 from period_etl.sources.parquet import key_filter, read_partitioned, scan_parquet
-from period_etl.sources.tables import read_table
+from period_etl.sources.tables import attach_table, read_table
 
 __all__ = [
     "PERIOD_PATTERN", "PeriodError", "last_segment", "parse_period", "period_from_name",
@@ -52,5 +52,5 @@ __all__ = [
     "Storage", "analytics_all", "analytics_frame", "analytics_period", "clean_all",
     "clean_frame", "clean_period", "read_stage", "run_all",
     "LandingEntry", "list_landing", "read_landing", "read_landing_clean",
-    "key_filter", "read_partitioned", "scan_parquet", "read_table",
+    "key_filter", "read_partitioned", "scan_parquet", "read_table", "attach_table",
 ]

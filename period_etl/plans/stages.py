@@ -26,10 +26,12 @@ from period_etl.operators.sinks import (
 from period_etl.sources.landing import list_landing, read_landing_clean
 from period_etl.sources.parquet import (
     key_filter,
+    partition_values,
     read_partitioned,
     scan_parquet,
     stored_values,
 )
+from period_etl.sources.tables import attach_table
 
 KEY = "period"
 
@@ -62,12 +64,30 @@ class Storage:
             return f"`{self.namespace}`.`{data_id}_{stage}`"
         return f"{self.root.rstrip('/')}/{stage}/{data_id}.parquet"
 
+    def table_folder(self, data_id: str, stage: str) -> str | None:
+        """Where a table of a namespace placed at ``location`` keeps its files."""
+        if not (self.tables and self.location):
+            return None
+        return f"{self.location.rstrip('/')}/{data_id}_{stage}"
+
+
+def _attach_if_stored(spark: SparkSession, storage: Storage, data_id: str, stage: str) -> None:
+    """Table mode in a new session: re-register a stage table whose files exist."""
+    folder = storage.table_folder(data_id, stage)
+    target = storage.target(data_id, stage)
+    if folder is None or table_exists(spark, target):
+        return
+    if partition_values(spark, folder, KEY):
+        ensure_namespace(spark, storage.namespace, storage.location)
+        attach_table(spark, target, folder)
+
 
 def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
                 mode: str) -> WriteReport:
     target = storage.target(data_id, stage)
     if storage.tables:
         ensure_namespace(df.sparkSession, storage.namespace, storage.location)
+        _attach_if_stored(df.sparkSession, storage, data_id, stage)
         return write_table(df, target, KEY, mode,
                            max_records_per_file=storage.max_records_per_file)
     return write_partitioned(df, target, KEY, mode,
@@ -79,6 +99,7 @@ def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
     """S3 / S4: a stage's rows, pruned to the given periods."""
     target = storage.target(data_id, stage)
     if storage.tables:
+        _attach_if_stored(spark, storage, data_id, stage)
         return key_filter(spark.table(target), KEY, periods)
     return read_partitioned(spark, target, KEY, periods)
 

@@ -125,3 +125,18 @@ def test_run_with_no_rows_in_month(spark, scratch, trips, mode):
     assert result.loaded_rows == {}
     if mode == "table":
         assert not spark.catalog.tableExists(storage.target("trips", "clean"))
+
+
+def test_table_mode_reattaches_stored_tables(spark, scratch, trips):
+    """A new session's empty catalog: stage tables are re-attached from their folders."""
+    from period_etl import write_partitioned
+    storage = Storage(namespace=unique_name("again"), location=f"{scratch}/wh")
+    # files left by an earlier session at the table's folder
+    old = trips.filter("id = 1").withColumn("period", F.lit("2025-01"))
+    write_partitioned(old, storage.table_folder("trips", "clean"))
+    assert not spark.catalog.tableExists(storage.target("trips", "clean"))
+    assert read_stage(spark, storage, "trips", "clean").count() == 1
+    from period_etl.plans.stages import write_stage
+    write_stage(trips.filter("id = 7").withColumn("period", F.lit("2025-01")),
+                storage, "trips", "clean", "append")
+    assert sorted(r.id for r in read_stage(spark, storage, "trips", "clean", "2025-01").collect()) == [1, 7]
