@@ -14,9 +14,7 @@ from urllib.parse import quote
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must stay as they are for the results to agree:
-# the period pattern searched in an entry name, first match wins.
-PERIOD_PATTERN = r"\d{4}-\d{2}"
+from period_etl.fixed import PERIOD_PATTERN
 
 _PERIOD_RE = re.compile(PERIOD_PATTERN)
 _INT_RE = re.compile(r"[+-]?\d+")

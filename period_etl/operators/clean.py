@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from period_etl.fixed import PERIOD
 from period_etl.functions.periods import month_key_col, parse_period, period_key_col
 
 
@@ -52,10 +53,10 @@ def in_month(df: DataFrame, ts_col: str, year: int, month: int) -> Column:
 def filter_by_period(df: DataFrame, period: str, ts_col: str) -> DataFrame:
     """F1 + P1 + P7: rows of month ``period`` plus a constant ``period`` column."""
     year, month = parse_period(period)
-    return df.filter(in_month(df, ts_col, year, month)).withColumn("period", F.lit(period))
+    return df.filter(in_month(df, ts_col, year, month)).withColumn(PERIOD, F.lit(period))
 
 
-def clean_tagged(df: DataFrame, ts_col: str, period_col: str = "period") -> DataFrame:
+def clean_tagged(df: DataFrame, ts_col: str, period_col: str = PERIOD) -> DataFrame:
     """L2 transform: keep rows whose own month equals their row's period.
 
     ``df`` carries a well-formed ``YYYY-MM`` period per row (from the landing

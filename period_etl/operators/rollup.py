@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ANALYTICS_COLUMNS = ("date", "period", "total_trips")
+from period_etl.fixed import DATE, PERIOD, TOTAL
 
+ANALYTICS_COLUMNS = (DATE, PERIOD, TOTAL)
 
-def with_date(df: DataFrame, ts_col: str, name: str = "date") -> DataFrame:
+
+def with_date(df: DataFrame, ts_col: str, name: str = DATE) -> DataFrame:
     """P2 + P9: add the calendar date of ``ts_col``, keep all other columns."""
     return df.withColumns({name: F.to_date(F.col(ts_col))})
 
 
-def daily_counts(df: DataFrame, ts_col: str, key: str = "period",
+def daily_counts(df: DataFrame, ts_col: str, key: str = PERIOD,
                  with_row_counts: bool = False) -> DataFrame:
     """A1: ``(date, period, total_trips)``, one row per day and period.
 
@@ -25,14 +27,14 @@ def daily_counts(df: DataFrame, ts_col: str, key: str = "period",
     ``n_rows``, all rows of the group (nulls included), from the same pass.
     """
     dated = with_date(df.select(ts_col, key), ts_col)
-    aggs = [F.count("date").cast("bigint").alias("total_trips")]
+    aggs = [F.count(DATE).cast("bigint").alias(TOTAL)]
     if with_row_counts:
         aggs.append(F.count(F.lit(1)).alias("n_rows"))
-    return dated.groupBy("date", key).agg(*aggs).select(
-        "date", key, "total_trips", *(["n_rows"] if with_row_counts else []))
+    return dated.groupBy(DATE, key).agg(*aggs).select(
+        DATE, key, TOTAL, *(["n_rows"] if with_row_counts else []))
 
 
-def load_counts(df: DataFrame, key: str = "period") -> DataFrame:
+def load_counts(df: DataFrame, key: str = PERIOD) -> DataFrame:
     """A2: rows loaded per period, ``(period, n_rows)``.
 
     Counting rows reads no column data from a Parquet scan (row-group counts

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from period_etl.fixed import PERIOD
 from period_etl.sources.parquet import partition_values
 
 MODES = ("append", "overwrite_partitions", "overwrite")
@@ -82,7 +83,7 @@ def _writer(df: DataFrame, key: str, mode: str, max_records_per_file: int | None
     return w.mode("overwrite").option("partitionOverwriteMode", "static")
 
 
-def write_partitioned(df: DataFrame, path: str, key: str = "period",
+def write_partitioned(df: DataFrame, path: str, key: str = PERIOD,
                       mode: str = "append", *, drop_nulls: bool = False,
                       max_records_per_file: int | None = None,
                       rebalance: bool = False) -> WriteReport:
@@ -132,7 +133,7 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def write_table(df: DataFrame, table: str, key: str = "period", mode: str = "append",
+def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "append",
                 *, max_records_per_file: int | None = None,
                 rebalance: bool = False) -> WriteReport:
     """K2-K7: write to a catalog table partitioned by ``key``.

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from period_etl.fixed import ANALYTICS, CLEAN, DATE, PERIOD, TOTAL
 from period_etl.functions.periods import parse_period
 from period_etl.operators.clean import filter_by_period
 from period_etl.operators.rollup import daily_counts
@@ -33,7 +34,7 @@ from period_etl.sources.parquet import (
 )
 from period_etl.sources.tables import attach_table
 
-KEY = "period"
+KEY = PERIOD
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,7 @@ def clean_period(spark: SparkSession, path: str, period: str, ts_col: str,
                  storage: Storage, data_id: str, mode: str = "append") -> WriteReport:
     """L1: one landing file, one period: scan, month filter, ``period``, store."""
     df = filter_by_period(scan_parquet(spark, path), period, ts_col)
-    return write_stage(df, storage, data_id, "clean", mode)
+    return write_stage(df, storage, data_id, CLEAN, mode)
 
 
 def clean_frame(spark: SparkSession, landing_root: str, ts_col: str,
@@ -128,7 +129,7 @@ def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Stor
     chosen = list_landing(spark, landing_root, entries, on_duplicate)
     names = [e.name for e in chosen]
     df = clean_frame(spark, landing_root, ts_col, names, "error")
-    report = write_stage(df, storage, data_id, "clean", mode)
+    report = write_stage(df, storage, data_id, CLEAN, mode)
     return sorted(e.period for e in chosen), report
 
 
@@ -139,13 +140,13 @@ def _run_clean(spark: SparkSession, storage: Storage, data_id: str,
     """Stored clean rows of the run's periods (or of every period from the
     run's earliest on), read through partition pruning."""
     if not from_min:
-        return read_stage(spark, storage, data_id, "clean", list(periods))
+        return read_stage(spark, storage, data_id, CLEAN, list(periods))
     if not storage.tables:
-        stored = stored_values(spark, storage.target(data_id, "clean"), KEY)
+        stored = stored_values(spark, storage.target(data_id, CLEAN), KEY)
         if stored is not None:
             later = [p for p in stored if p >= min(periods)] or list(periods)
-            return read_stage(spark, storage, data_id, "clean", later)
-    clean = read_stage(spark, storage, data_id, "clean")
+            return read_stage(spark, storage, data_id, CLEAN, later)
+    clean = read_stage(spark, storage, data_id, CLEAN)
     return clean.filter(F.col(KEY) >= F.lit(min(periods)))
 
 
@@ -187,15 +188,15 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
     """
     for p in periods:
         parse_period(p)
-    target = storage.target(data_id, "analytics")
+    target = storage.target(data_id, ANALYTICS)
     if not storage.tables:
-        stored = stored_values(spark, storage.target(data_id, "clean"), KEY)
+        stored = stored_values(spark, storage.target(data_id, CLEAN), KEY)
         wanted = set(periods)
         if stored is not None and not [p for p in stored
                                        if (p >= min(periods) if from_min else p in wanted)]:
             # No clean rows stored for these periods: nothing to count.
             return AnalyticsReport(WriteReport(target, written=False))
-    elif not table_exists(spark, storage.target(data_id, "clean")):
+    elif not table_exists(spark, storage.target(data_id, CLEAN)):
         return AnalyticsReport(WriteReport(target, written=False))
     clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = daily_counts(clean, ts_col, KEY, with_row_counts=True)
@@ -205,8 +206,8 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
     # task per period (an explicit count, so AQE does not fold every
     # period's file into a single writing task).
     tasks = max(1, min(len(set(periods)), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    out = per_day.select("date", KEY, "total_trips").repartition(tasks, KEY)
-    return AnalyticsReport(write_stage(out, storage, data_id, "analytics", mode), obs)
+    out = per_day.select(DATE, KEY, TOTAL).repartition(tasks, KEY)
+    return AnalyticsReport(write_stage(out, storage, data_id, ANALYTICS, mode), obs)
 
 
 def analytics_period(spark: SparkSession, storage: Storage, data_id: str, period: str,

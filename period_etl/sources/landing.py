@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from period_etl.fixed import PERIOD
 from period_etl.functions.periods import (
     PeriodError,
     entry_name_col,
@@ -120,7 +121,7 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     """
     fp = F.col(file_path_col)
     period = period_col(entry_name_col(fp, root)) if checked else landing_period_col(fp, root)
-    return df.withColumn("period", period).drop(file_path_col)
+    return df.withColumn(PERIOD, period).drop(file_path_col)
 
 
 def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
@@ -154,7 +155,7 @@ def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
     df, root = _scan(spark, root, entries, on_duplicate, options)
     ts = F.col(ts_col)
     own = month_key_col(ts) == period_key_col(landing_period_col(F.col(_FILE_PATH), root))
-    return df.filter(own).withColumn("period", month_text_col(ts)).drop(_FILE_PATH)
+    return df.filter(own).withColumn(PERIOD, month_text_col(ts)).drop(_FILE_PATH)
 
 
 def landing_periods(entries: Iterable[LandingEntry]) -> list[str]:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from period_etl.fixed import PERIOD
+
 
 def scan_parquet(spark: SparkSession, path: str, *more: str,
                  schema: StructType | None = None, **options: str) -> DataFrame:
@@ -69,7 +71,7 @@ def _string_key(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def read_partitioned(spark: SparkSession, path: str, key: str = "period",
+def read_partitioned(spark: SparkSession, path: str, key: str = PERIOD,
                      periods: str | Iterable[str] | None = None,
                      schema: StructType | None = None) -> DataFrame:
     """S3: scan a hive-style dataset, keeping only the given key values.
@@ -96,7 +98,7 @@ def read_partitioned(spark: SparkSession, path: str, key: str = "period",
     return key_filter(_string_key(scan_parquet(spark, path, schema=schema), key), key, wanted)
 
 
-def stored_values(spark: SparkSession, path: str, key: str = "period") -> list[str] | None:
+def stored_values(spark: SparkSession, path: str, key: str = PERIOD) -> list[str] | None:
     """Key values present in a hive-style dataset (sorted), None if unknown."""
     folders = partition_values(spark, path, key)
     return None if folders is None else sorted(folders)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from period_etl.fixed import CLEAN, PERIOD
 from period_etl.operators.clean import clean_tagged
 from period_etl.plans.stages import Storage, analytics_all, write_stage
 from period_etl.session import scratch_dir
@@ -52,8 +53,8 @@ def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: s
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
         obs = Observation()
-        counted = batch.observe(obs, F.collect_set("period").alias("periods"))
-        report = write_stage(counted, storage, data_id, "clean", "append")
+        counted = batch.observe(obs, F.collect_set(PERIOD).alias("periods"))
+        report = write_stage(counted, storage, data_id, CLEAN, "append")
         if not (analytics and report.written):
             return
         periods = sorted(obs.get.get("periods") or [])
