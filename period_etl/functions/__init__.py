@@ -3,6 +3,7 @@ from period_etl.functions.periods import (
     PeriodError,
     date_col,
     entry_name_col,
+    landing_period_at,
     landing_period_col,
     last_segment,
     month_key_col,
@@ -11,6 +12,7 @@ from period_etl.functions.periods import (
     period_col,
     period_from_name,
     period_key_col,
+    shared_period_offset,
     strip_scheme,
 )
 
@@ -19,6 +21,7 @@ __all__ = [
     "PeriodError",
     "date_col",
     "entry_name_col",
+    "landing_period_at",
     "landing_period_col",
     "last_segment",
     "month_key_col",
@@ -27,5 +30,6 @@ __all__ = [
     "period_col",
     "period_from_name",
     "period_key_col",
+    "shared_period_offset",
     "strip_scheme",
 ]

@@ -101,6 +101,32 @@ def landing_period_col(file_path: Column, root: str) -> Column:
     return F.regexp_extract(file_path, pattern, 1)
 
 
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9._=+,~-]*")
+
+
+def shared_period_offset(names_and_periods) -> int | None:
+    """Offset of the period in every entry name, if it is the same for all.
+
+    Only names whose text before the period needs no URI escaping count, so
+    the offset is the same in Spark's file URI. None when offsets differ.
+    """
+    offsets = set()
+    for name, period in names_and_periods:
+        at = name.index(period)          # the first match starts here
+        if not _PLAIN_NAME.fullmatch(name[:at]):
+            return None
+        offsets.add(at)
+    return offsets.pop() if len(offsets) == 1 else None
+
+
+def landing_period_at(file_path: Column, root: str, offset: int) -> Column:
+    """P5 + P6 per row without a regex, for entries whose period sits at
+    the same ``offset`` in their names (checked on the driver): the seven
+    characters at that place in the entry segment of the file's URI."""
+    key = _uri_key(root)
+    return F.substring(file_path, F.instr(file_path, key) + F.lit(len(key) + offset), F.lit(7))
+
+
 def period_col(name: Column) -> Column:
     """P6 per row: first ``YYYY-MM`` in ``name``; raises when there is none."""
     hit = F.regexp_substr(name, F.lit(PERIOD_PATTERN))

@@ -15,13 +15,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from period_etl.fixed import PERIOD
 from period_etl.functions.periods import (
     PeriodError,
     entry_name_col,
+    landing_period_at,
     landing_period_col,
     last_segment,
     month_key_col,
@@ -29,6 +30,7 @@ from period_etl.functions.periods import (
     period_col,
     period_key_col,
     period_from_name,
+    shared_period_offset,
     strip_scheme,
 )
 
@@ -125,12 +127,23 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
 
 
 def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
-          on_duplicate: str, options: dict) -> tuple[DataFrame, str]:
+          on_duplicate: str, options: dict) -> tuple[DataFrame, Column, bool]:
+    """One scan of the chosen entries plus the per-row period expression.
+
+    When every entry name has its period at the same place (the usual
+    ``name_YYYY-MM.parquet`` set) the period is a fixed-position substring
+    of the file path; otherwise one anchored regex finds it.
+    """
     root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
     df = spark.read.options(**options).parquet(*[e.path for e in chosen])
     # Take only file_path out of _metadata right at the scan.
-    return df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH)), root
+    df = df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+    fp = F.col(_FILE_PATH)
+    offset = shared_period_offset((e.name, e.period) for e in chosen)
+    if offset is None:
+        return df, landing_period_col(fp, root), False
+    return df, landing_period_at(fp, root, offset), True
 
 
 def read_landing(spark: SparkSession, root: str,
@@ -138,8 +151,8 @@ def read_landing(spark: SparkSession, root: str,
                  on_duplicate: str = "error",
                  **options: str) -> DataFrame:
     """S2: every landing entry in one scan, plus a ``period`` string column."""
-    df, root = _scan(spark, root, entries, on_duplicate, options)
-    return tag_period(df, root, _FILE_PATH, checked=False)
+    df, period, _ = _scan(spark, root, entries, on_duplicate, options)
+    return df.withColumn(PERIOD, period).drop(_FILE_PATH)
 
 
 def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
@@ -148,14 +161,16 @@ def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
                        **options: str) -> DataFrame:
     """S2 + L2 fused: the landing rows that lie in their own entry's month.
 
-    Same rows as ``clean_tagged(read_landing(...))``, cheaper per row: the
-    path regex runs once, inside the month test, and ``period`` of a kept
-    row is its own ``YYYY-MM`` (equal to its entry's period by the test).
+    Same rows as ``clean_tagged(read_landing(...))``. On the regex path the
+    regex runs once, inside the month test, and a kept row's ``period`` is
+    its own ``YYYY-MM`` (equal to its entry's by the test); on the
+    fixed-position path the substring is cheap enough to take twice.
     """
-    df, root = _scan(spark, root, entries, on_duplicate, options)
+    df, period, fixed_position = _scan(spark, root, entries, on_duplicate, options)
     ts = F.col(ts_col)
-    own = month_key_col(ts) == period_key_col(landing_period_col(F.col(_FILE_PATH), root))
-    return df.filter(own).withColumn(PERIOD, month_text_col(ts)).drop(_FILE_PATH)
+    own = month_key_col(ts) == period_key_col(period)
+    out = period if fixed_position else month_text_col(ts)
+    return df.filter(own).withColumn(PERIOD, out).drop(_FILE_PATH)
 
 
 def landing_periods(entries: Iterable[LandingEntry]) -> list[str]:

@@ -112,3 +112,19 @@ def test_root_with_space_and_relative_entries(spark, trips, scratch):
     got = periods_by_id(read_landing(spark, root))
     assert got == {1: "2025-01", 2: "2025-01", 3: "2025-01"}
     assert sorted(r.id for r in read_landing_clean(spark, root, "ts").collect()) == [1, 2]
+
+
+def test_mixed_name_layouts_use_the_regex_path(spark, trips, scratch):
+    from period_etl.functions import shared_period_offset
+    assert shared_period_offset([("a_2025-01.p", "2025-01"), ("b_2025-02.p", "2025-02")]) == 2
+    assert shared_period_offset([("a_2025-01.p", "2025-01"), ("bb_2025-02.p", "2025-02")]) is None
+    assert shared_period_offset([("a b2025-01", "2025-01"), ("a_b2025-02", "2025-02")]) is None
+    root = f"{scratch}/landing"
+    write_entry(trips.filter("id < 4"), f"{root}/t_2025-01.parquet")
+    write_entry(trips.filter("id >= 4"), f"{root}/trips_2024-12.parquet")
+    fused = read_landing_clean(spark, root, "ts")
+    assert sorted((r.id, r.period) for r in fused.collect()) == [
+        (1, "2025-01"), (2, "2025-01"), (4, "2024-12")]
+    assert periods_by_id(read_landing(spark, root)) == {
+        1: "2025-01", 2: "2025-01", 3: "2025-01", 4: "2024-12", 5: "2024-12",
+        6: "2024-12", 7: "2024-12"}
