@@ -128,3 +128,8 @@ def test_mixed_name_layouts_use_the_regex_path(spark, trips, scratch):
     assert periods_by_id(read_landing(spark, root)) == {
         1: "2025-01", 2: "2025-01", 3: "2025-01", 4: "2024-12", 5: "2024-12",
         6: "2024-12", 7: "2024-12"}
+
+
+def test_missing_root(spark, scratch):
+    with pytest.raises((FileNotFoundError, PeriodError)):
+        read_landing(spark, f"{scratch}/nowhere")
