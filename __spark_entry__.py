@@ -170,7 +170,9 @@ def q15_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = scan_parquet(spark, _t(sf_dir, "orders")).schema
     query = stream_landing(spark, land, schema, "o_orderdate", storage, "orders",
                            f"{base}/checkpoint", analytics=False)
-    query.awaitTermination()
+    if not query.awaitTermination(900):
+        query.stop()
+        raise TimeoutError("landing stream did not finish within 900 s")
     return read_stage(spark, storage, "orders", "clean")
 
 

@@ -24,6 +24,7 @@ Path mode writes ``{data_dir}/clean/{data_id}.parquet`` and
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 import re
 import tomllib
@@ -82,6 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--config", default="config.toml")
     ap.add_argument("--mode", default="append", choices=["append", "overwrite_partitions"])
     args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("period_etl").getOrCreate()
     result = run_config(spark, load_config(args.config), args.mode)
     for period in result.periods:

@@ -7,6 +7,7 @@ tables in a namespace.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ from period_etl.sources.parquet import (
 from period_etl.sources.tables import attach_table
 
 KEY = PERIOD
+log = logging.getLogger("period_etl")
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,9 @@ def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Stor
     """L2: all periods of a landing set in one scan and one write."""
     chosen = list_landing(spark, landing_root, entries, on_duplicate)
     names = [e.name for e in chosen]
+    log.info("clean: %d landing entries (%s .. %s) -> %s, mode=%s", len(chosen),
+             min(e.period for e in chosen), max(e.period for e in chosen),
+             storage.target(data_id, CLEAN), mode)
     df = clean_frame(spark, landing_root, ts_col, names, "error")
     report = write_stage(df, storage, data_id, CLEAN, mode)
     return sorted(e.period for e in chosen), report
@@ -195,9 +200,12 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
         if stored is not None and not [p for p in stored
                                        if (p >= min(periods) if from_min else p in wanted)]:
             # No clean rows stored for these periods: nothing to count.
+            log.info("analytics: no clean rows stored for %d periods", len(periods))
             return AnalyticsReport(WriteReport(target, written=False))
     elif not table_exists(spark, storage.target(data_id, CLEAN)):
         return AnalyticsReport(WriteReport(target, written=False))
+    log.info("analytics: %d periods%s -> %s, mode=%s", len(periods),
+             " and every later stored one" if from_min else "", target, mode)
     clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = daily_counts(clean, ts_col, KEY, with_row_counts=True)
     obs = Observation()
@@ -245,5 +253,9 @@ def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storag
     periods, clean = clean_all(spark, landing_root, ts_col, storage, data_id, mode,
                                entries, on_duplicate)
     analytics = analytics_all(spark, storage, data_id, periods, ts_col, mode, from_min)
-    return RunResult(periods, clean, analytics)
+    result = RunResult(periods, clean, analytics)
+    if log.isEnabledFor(logging.INFO):
+        for period, rows in sorted(result.loaded_rows.items()):
+            log.info("loaded %d clean rows for period %s", rows, period)
+    return result
 
