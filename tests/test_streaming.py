@@ -24,3 +24,16 @@ def test_stream_two_rounds(spark, trips, scratch):
     got = {(str(r.date), r.period): r.total_trips for r in a.collect()}
     assert got == {("2025-01-01", "2025-01"): 2, ("2025-01-31", "2025-01"): 1}
     assert a.agg(F.sum("total_trips")).first()[0] == 3
+
+
+def test_stream_into_tables(spark, trips, scratch):
+    from period_etl.session import unique_name
+    root = f"{scratch}/landing"
+    trips.coalesce(1).write.parquet(f"{root}/trips_2025-01.parquet")
+    storage = Storage(namespace=unique_name("stream"), location=f"{scratch}/wh")
+    q = stream_landing(spark, root, trips.schema, "ts", storage, "trips", f"{scratch}/ckpt")
+    assert q.awaitTermination(120)
+    assert sorted(r.id for r in read_stage(spark, storage, "trips", "clean").collect()) == [1, 2, 7]
+    a = read_stage(spark, storage, "trips", "analytics")
+    assert sorted((str(r.date), r.total_trips) for r in a.collect()) == [
+        ("2025-01-01", 2), ("2025-01-31", 1)]
