@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from period_etl.fixed import DATE, PERIOD, TOTAL
 
-ANALYTICS_COLUMNS = (DATE, PERIOD, TOTAL)
-
-
 def with_date(df: DataFrame, ts_col: str, name: str = DATE) -> DataFrame:
     """P2 + P9: add the calendar date of ``ts_col``, keep all other columns."""
     return df.withColumns({name: F.to_date(F.col(ts_col))})
