@@ -99,12 +99,20 @@ def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
 
 def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
                periods: str | Sequence[str] | None = None) -> DataFrame:
-    """S3 / S4: a stage's rows, pruned to the given periods."""
+    """S3 / S4: a stage's rows, pruned to the given periods.
+
+    Analytics rows come back as ``(date, period, total_trips)``, the order
+    they were computed in (a partitioned read puts the key last).
+    """
     target = storage.target(data_id, stage)
     if storage.tables:
         _attach_if_stored(spark, storage, data_id, stage)
-        return key_filter(spark.table(target), KEY, periods)
-    return read_partitioned(spark, target, KEY, periods)
+        df = key_filter(spark.table(target), KEY, periods)
+    else:
+        df = read_partitioned(spark, target, KEY, periods)
+    if stage == ANALYTICS and set(df.columns) == {DATE, KEY, TOTAL}:
+        df = df.select(DATE, KEY, TOTAL)
+    return df
 
 
 # --- clean ----------------------------------------------------------------
