@@ -119,6 +119,18 @@ def shared_period_offset(names_and_periods) -> int | None:
     return offsets.pop() if len(offsets) == 1 else None
 
 
+def names_are_plain(names) -> bool:
+    """True when no entry name needs URI escaping in Spark's file paths."""
+    return all(_PLAIN_NAME.fullmatch(n) for n in names)
+
+
+def landing_period_decoded(file_path: Column, root: str) -> Column:
+    """P5 + P6 per row for entry names that Spark's file URIs escape
+    (spaces, ``%``, non-ASCII): decode the entry segment, then take its
+    first ``YYYY-MM`` (an escape like ``%20`` must not lend its digits)."""
+    return F.regexp_extract(F.url_decode(entry_name_col(file_path, root)), PERIOD_PATTERN, 0)
+
+
 def landing_period_at(file_path: Column, root: str, offset: int) -> Column:
     """P5 + P6 per row without a regex, for entries whose period sits at
     the same ``offset`` in their names (checked on the driver): the seven

@@ -24,9 +24,11 @@ from period_etl.functions.periods import (
     entry_name_col,
     landing_period_at,
     landing_period_col,
+    landing_period_decoded,
     last_segment,
     month_key_col,
     month_text_col,
+    names_are_plain,
     period_col,
     period_key_col,
     period_from_name,
@@ -122,7 +124,8 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     e.g. a file stream) raises on an entry name without a period.
     """
     fp = F.col(file_path_col)
-    period = period_col(entry_name_col(fp, root)) if checked else landing_period_col(fp, root)
+    period = (period_col(F.url_decode(entry_name_col(fp, root))) if checked
+              else landing_period_col(fp, root))
     return df.withColumn(PERIOD, period).drop(file_path_col)
 
 
@@ -132,7 +135,8 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
 
     When every entry name has its period at the same place (the usual
     ``name_YYYY-MM.parquet`` set) the period is a fixed-position substring
-    of the file path; otherwise one anchored regex finds it.
+    of the file path; otherwise one anchored regex finds it, on the decoded
+    entry name when some name needs URI escaping.
     """
     root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
@@ -141,9 +145,11 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
     df = df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
     fp = F.col(_FILE_PATH)
     offset = shared_period_offset((e.name, e.period) for e in chosen)
-    if offset is None:
+    if offset is not None:
+        return df, landing_period_at(fp, root, offset), True
+    if names_are_plain(e.name for e in chosen):
         return df, landing_period_col(fp, root), False
-    return df, landing_period_at(fp, root, offset), True
+    return df, landing_period_decoded(fp, root), False
 
 
 def read_landing(spark: SparkSession, root: str,

@@ -133,3 +133,13 @@ def test_mixed_name_layouts_use_the_regex_path(spark, trips, scratch):
 def test_missing_root(spark, scratch):
     with pytest.raises((FileNotFoundError, PeriodError)):
         read_landing(spark, f"{scratch}/nowhere")
+
+
+def test_escaped_characters_before_the_period(spark, trips, scratch):
+    # In the file URI the space becomes %20, and "%2012-20" must not be read
+    # as a period: the entry name's own first match is 2025-01.
+    root = f"{scratch}/landing"
+    write_entry(trips.filter("id < 4"), f"{root}/x 12-2025-01.parquet")
+    write_entry(trips.filter("id >= 4"), f"{root}/trips_2024-12.parquet")
+    assert set(periods_by_id(read_landing(spark, root)).values()) == {"2025-01", "2024-12"}
+    assert sorted(r.id for r in read_landing_clean(spark, root, "ts").collect()) == [1, 2, 4]
