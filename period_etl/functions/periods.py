@@ -83,9 +83,18 @@ def entry_name_col(file_path: Column, root: str) -> Column:
     return F.when(pos > 0, name)
 
 
+_URI_SAFE = "/:@!$&'()*+,;=-._~"
+
+
+def _uri_escape(text: str) -> str:
+    """Escape text the way a file URI's path shows it: illegal ASCII
+    characters become ``%XX``; letters beyond ASCII stay as they are."""
+    return "".join(c if ord(c) > 127 else quote(c, safe=_URI_SAFE) for c in text)
+
+
 def _uri_key(root: str) -> str:
     # Spark reports file paths as URIs: escape the root the same way.
-    return quote(strip_scheme(root) + "/", safe="/:@!$&'()*+,;=-._~")
+    return _uri_escape(strip_scheme(root) + "/")
 
 
 def landing_period_col(file_path: Column, root: str) -> Column:

@@ -143,3 +143,11 @@ def test_escaped_characters_before_the_period(spark, trips, scratch):
     write_entry(trips.filter("id >= 4"), f"{root}/trips_2024-12.parquet")
     assert set(periods_by_id(read_landing(spark, root)).values()) == {"2025-01", "2024-12"}
     assert sorted(r.id for r in read_landing_clean(spark, root, "ts").collect()) == [1, 2, 4]
+
+
+def test_non_ascii_root_and_entry(spark, trips, scratch):
+    root = f"{scratch}/données"
+    write_entry(trips.filter("id < 4"), f"{root}/relevé_2025-01.parquet")
+    write_entry(trips.filter("id >= 4"), f"{root}/relevé_2024-12.parquet")
+    assert set(periods_by_id(read_landing(spark, root)).values()) == {"2025-01", "2024-12"}
+    assert sorted(r.id for r in read_landing_clean(spark, root, "ts").collect()) == [1, 2, 4]
