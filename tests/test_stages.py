@@ -141,3 +141,13 @@ def test_table_mode_reattaches_stored_tables(spark, scratch, trips):
     write_stage(trips.filter("id = 7").withColumn("period", F.lit("2025-01")),
                 storage, "trips", "clean", "append")
     assert sorted(r.id for r in read_stage(spark, storage, "trips", "clean", "2025-01").collect()) == [1, 7]
+
+
+def test_analytics_writes_one_file_per_period(spark, scratch, landing):
+    import glob
+    storage = Storage(root=f"{scratch}/out")
+    result = run_all(spark, landing, "o_orderdate", storage, "orders")
+    folder = storage.target("orders", "analytics").replace("file:", "")
+    files = glob.glob(f"{folder}/period=*/*.parquet")
+    assert len(files) == len({f.split("period=")[1].split("/")[0] for f in files})
+    assert len(files) == len(result.loaded_rows)
