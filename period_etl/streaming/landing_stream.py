@@ -44,9 +44,15 @@ def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: s
                    storage: Storage, data_id: str, checkpoint_location: str | None = None,
                    analytics: bool = True, available_now: bool = True,
                    processing_time: str | None = None,
-                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
-    options = {}
+                   max_files_per_trigger: int | None = None,
+                   **source_options: str) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    ``source_options`` go to the file source, e.g. ``maxFileAge`` or
+    ``cleanSource="archive"`` with ``sourceArchiveDir`` to keep the listing
+    of a long-running stream from growing with its history.
+    """
+    options = dict(source_options)
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
     clean = clean_tagged(read_landing_stream(spark, root, schema, **options), ts_col)
