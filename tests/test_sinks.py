@@ -67,8 +67,9 @@ def test_append_by_name_and_rerun_doubles(spark, ns):
 def test_table_overwrite_partitions(spark, ns):
     t = f"{ns}.clean"
     write_table(keyed(spark), t)
-    again = spark.createDataFrame([(9, "2025-01")], "id bigint, period string")
-    write_table(again, t, mode="overwrite_partitions")
+    again = spark.createDataFrame([(9, "2025-01"), (10, None)], "id bigint, period string")
+    report = write_table(again, t, mode="overwrite_partitions")
+    assert report.dropped_null_keys == 1
     rows = sorted(tuple(r) for r in spark.table(t).select("id", "period").collect())
     assert rows == [(3, "2025-02"), (9, "2025-01")]
 
