@@ -78,6 +78,8 @@ def main() -> None:
     q["q04_clean_all_periods"] = timed(lambda: noop(clean_frame(spark, land, TS)))
     q["q05_clean_write_paths"] = timed(
         lambda: clean_all(spark, land, TS, fresh_paths(), "lineitem"))
+    q["q10_rerun_overwrite"] = timed(
+        lambda: clean_all(spark, land, TS, kept, "lineitem", mode="overwrite_partitions"))
     q["q06_daily_counts"] = timed(lambda: daily_counts(
         filter_by_period(scan_parquet(spark, t("events")), "2024-01", "ts"), "ts").collect())
     q["q07_analytics_all_periods"] = timed(
