@@ -151,3 +151,17 @@ def test_analytics_writes_one_file_per_period(spark, scratch, landing):
     files = glob.glob(f"{folder}/period=*/*.parquet")
     assert len(files) == len({f.split("period=")[1].split("/")[0] for f in files})
     assert len(files) == len(result.loaded_rows)
+
+
+def test_single_period_stages_in_table_mode(spark, scratch, trips):
+    from period_etl import analytics_period, clean_period
+    path = f"{scratch}/trips_2025-01.parquet"
+    trips.coalesce(1).write.parquet(path)
+    storage = Storage(namespace=unique_name("one"), location=f"{scratch}/wh")
+    report = clean_period(spark, path, "2025-01", "ts", storage, "trips")
+    assert report.written and report.dropped_null_keys == 0
+    analytics_period(spark, storage, "trips", "2025-01", "ts")
+    a = read_stage(spark, storage, "trips", "analytics", "2025-01")
+    assert a.columns == ["date", "period", "total_trips"]
+    assert sorted((str(r.date), r.total_trips) for r in a.collect()) == [
+        ("2025-01-01", 2), ("2025-01-31", 1)]
