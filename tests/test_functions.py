@@ -47,3 +47,13 @@ def test_strip_scheme():
     assert strip_scheme("file:/tmp/a") == "/tmp/a"
     assert strip_scheme("/tmp/a") == "/tmp/a"
     assert strip_scheme("s3a://bucket/land") == "bucket/land"
+
+
+def test_uri_escaping_matches_file_uris():
+    from period_etl.functions.periods import _uri_escape, names_are_plain
+    assert _uri_escape("/tmp/land ing/") == "/tmp/land%20ing/"
+    assert _uri_escape("/tmp/données/") == "/tmp/données/"       # kept as is
+    assert _uri_escape("/a/100%/") == "/a/100%25/"
+    assert names_are_plain(["trips_2025-01.parquet", "entry=orders_1996-03"])
+    assert not names_are_plain(["x 12-2025-01.parquet"])
+    assert not names_are_plain(["relevé_2025-01.parquet"])
