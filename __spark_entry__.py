@@ -233,6 +233,28 @@ _ORACLE = {
 }
 
 
+# The operators of the llm subpackage and their pipeline are optional: without them the rest stays as it is.
+try:
+    from period_etl.llm.queries import ORACLE_SQL as _LLM_ORACLE  # noqa: E402
+    from period_etl.llm.queries import QUERIES as _LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("period_etl.llm"):
+        raise
+else:
+    _QUERIES |= _LLM_QUERIES
+    _ORACLE |= _LLM_ORACLE
+
+try:
+    import corpus_pipeline as _pipeline  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("period_etl.llm"):
+        raise
+else:
+    _QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        _ORACLE["pipeline"] = _pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (q12) on /root/testdata/sf0.001."""
     return q12_daily_rollup(spark, SMOKE_DIR)
