@@ -6,18 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
 from period_etl.llm.near_dup import near_duplicates
+from period_etl.llm.rans import read_token_files, write_token_files
+from period_etl.session import scratch_dir
 
 #: ASCII-folded words of a text as a DuckDB list; null and empty texts have none.
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           "'[^\\x20\\x09-\\x0D]+')")
 
 
+#: Tokenizer files: the public vocabularies of this machine. Other places set the operators' path parameter.
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), out, _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, out, as_ids=False)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 _OP5 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
@@ -32,7 +52,9 @@ FROM documents JOIN m ON m.id = doc_id LEFT JOIN n USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_bpe": op7_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
