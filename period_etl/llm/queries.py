@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
+from period_etl.llm.decontam import leaks
+from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notices
 from period_etl.llm.near_dup import near_duplicates
 from period_etl.llm.rans import read_token_files, write_token_files
 from period_etl.session import scratch_dir
@@ -38,6 +40,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"), notices(spark))
+    return found.select("doc_id", "license", "start", "n_words", "common", "total")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", "common", "whole")
+
+
 _OP5 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
@@ -51,12 +63,55 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, doc_id = m.c
 FROM documents JOIN m ON m.id = doc_id LEFT JOIN n USING (doc_id)
 """
 
+_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(NOTICES.items()))
+_ALNUM = "regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')"
+
+
+def _shingled(words: str, k: int) -> str:
+    """The k-word shingles of a list of words, joined by spaces."""
+    return (f"CASE WHEN len({words}) = 0 THEN [] WHEN len({words}) <= {k} THEN [array_to_string({words}, ' ')] "
+            f"ELSE list_transform(range(1, len({words}) - {k - 2}), lambda i: array_to_string({words}[i:i + {k - 1}], ' ')) END")
+
+
+_OP9 = f"""
+WITH t AS (SELECT license, w, greatest({LEAST_CLASS}, 2 ** ceil(log2(len(w))))::BIGINT AS c
+           FROM (SELECT license, {_ALNUM} AS w FROM (VALUES {_VALUES}) v(license, text))),
+ts AS (SELECT license, c, unnest(list_distinct({_shingled('w', K)})) AS g FROM t),
+n AS (SELECT license, count(*) AS total FROM ts GROUP BY 1),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+s AS (SELECT doc_id, len(w) AS m, unnest({_shingled('w', K)}) AS g, generate_subscripts({_shingled('w', K)}, 1) - 1 AS pos FROM d),
+a AS (SELECT doc_id, m, license, c, g, pos, unnest([pos // c * c, pos // c * c - c]) AS start FROM s JOIN ts USING (g)),
+h AS (SELECT doc_id, license, start, least(2 * c, m - start) AS n_words, count(DISTINCT g) AS common FROM a
+      WHERE start >= 0 AND pos + {K} <= start + 2 * c GROUP BY ALL)
+SELECT doc_id, license, start, n_words, common, total FROM h JOIN n USING (license) WHERE common * 100 >= total * 80
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY common DESC, start) = 1
+"""
+
+_OP10 = f"""
+WITH i AS (SELECT item_id, w, len(w) AS n_words, {_shingled('w', 5)} AS gs FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+ig AS (SELECT item_id, n_words, unnest(gs) AS g, generate_subscripts(gs, 1) - 1 AS o FROM i),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, len(w) AS m, unnest({_shingled('w', 5)}) AS g, generate_subscripts({_shingled('w', 5)}, 1) - 1 AS pos FROM d),
+v AS (SELECT DISTINCT doc_id, item_id, n_words, pos - o AS start FROM s JOIN ig USING (g) WHERE pos >= o AND pos - o + n_words <= m),
+mine AS (SELECT v.doc_id, item_id, v.start, n_words, s.g, count(*) AS x FROM v JOIN s ON s.doc_id = v.doc_id
+         AND s.pos BETWEEN v.start AND v.start + greatest(n_words - 5, 0) GROUP BY ALL),
+its AS (SELECT item_id, g, count(*) AS y FROM ig GROUP BY ALL),
+c AS (SELECT doc_id, item_id, start, n_words, sum(least(x, coalesce(y, 0)))::BIGINT AS common FROM mine LEFT JOIN its USING (item_id, g) GROUP BY ALL),
+u AS (SELECT *, 2 * greatest(n_words - 4, 1) - common AS whole FROM c)
+SELECT doc_id, item_id, start, n_words, common, whole FROM u WHERE common * 100 >= whole * 80
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common / whole DESC, start) = 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_bpe": op7_bpe,
+    "op9_licenses": op9_licenses,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_near_duplicates": _OP5,
+    "op9_licenses": _OP9,
+    "op10_decontamination": _OP10,
 }
