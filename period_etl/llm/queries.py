@@ -11,6 +11,7 @@ from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
 from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notices
 from period_etl.llm.near_dup import near_duplicates
+from period_etl.llm.quality import fit_line_field, quality_rules
 from period_etl.llm.rans import read_token_files, write_token_files
 from period_etl.session import scratch_dir
 
@@ -19,8 +20,15 @@ _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
           "'[^\\x20\\x09-\\x0D]+')")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = fit_line_field(docs, table(spark, sf_dir, "labels"))
+    return quality_rules(docs, field).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                             "base_failed", "kept", "content_words")
+
+
 #: Tokenizer files: the public vocabularies of this machine. Other places set the operators' path parameter.
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -28,7 +36,7 @@ def _tokenizer(name: str) -> str:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), out, _tokenizer("byte_bpe_50k.json"), end_id=2)
+    write_token_files(table(spark, sf_dir, "documents"), out, tokenizer_path("byte_bpe_50k.json"), end_id=2)
     return read_token_files(spark, out, as_ids=False)
 
 
@@ -37,7 +45,7 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +111,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common / whole
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_bpe": op7_bpe,

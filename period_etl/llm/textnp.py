@@ -73,14 +73,17 @@ class Words:
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), self.counts)
 
+    def span_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the bytes of each span of buf."""
+        up, down = _powers(len(self.buf) + 1)
+        if not hasattr(self, "_total"):
+            self._total = np.zeros(len(self.buf) + 1, U64)
+            np.cumsum(_BYTE[self.buf] * up[:len(self.buf)], out=self._total[1:])
+        return mix((self._total[end] - self._total[start]) * down[start])
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        if not len(self.start):
-            return np.zeros(0, U64)
-        up, down = _powers(len(self.buf) + 1)
-        total = np.zeros(len(self.buf) + 1, U64)
-        np.cumsum(_BYTE[self.buf] * up[:len(self.buf)], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start])
+        return self.span_hashes(self.start, self.end)
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
