@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from period_etl.llm.binpack import assign_shards
 from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
@@ -44,6 +45,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_shards": op6_shards,
     "op7_bpe": op7_bpe,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
