@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from period_etl.llm.binpack import assign_shards
 from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
+from period_etl.llm.html_text import extract_pages
 from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notices
 from period_etl.llm.near_dup import near_duplicates
 from period_etl.llm.quality import fit_line_field, quality_rules
@@ -53,6 +55,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"), notices(spark))
     return found.select("doc_id", "license", "start", "n_words", "common", "total")
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_shards": op6_shards,
     "op7_bpe": op7_bpe,
+    "op8_main_text": op8_main_text,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
 }
