@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from period_etl.llm.binpack import assign_shards
+from period_etl.llm.bloom_lm import score_documents
 from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
@@ -23,6 +24,10 @@ _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
           "'[^\\x20\\x09-\\x0D]+')")
 
 
+def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = fit_line_field(docs, table(spark, sf_dir, "labels"))
@@ -122,6 +127,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common / whole
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bloom_lm": op2_bloom_lm,
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
