@@ -17,6 +17,7 @@ from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notic
 from period_etl.llm.near_dup import near_duplicates
 from period_etl.llm.quality import fit_line_field, quality_rules
 from period_etl.llm.rans import read_token_files, write_token_files
+from period_etl.llm.warc import build_derivatives, page_responses
 from period_etl.session import scratch_dir
 
 #: ASCII-folded words of a text as a DuckDB list; null and empty texts have none.
@@ -24,6 +25,10 @@ _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
           "'[^\\x20\\x09-\\x0D]+')")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_derivatives(page_responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
+
+
 def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common / whole
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_bloom_lm": op2_bloom_lm,
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
