@@ -43,7 +43,7 @@ from period_etl.llm.textnp import U64, mix
 
 BANDS, ROWS = 32, 5
 #: Hubs of a bucket in the second round, and how many times more there are in each round after it.
-HUBS = 16
+HUBS = 256
 
 
 def _probes(bins: int, rounds: int) -> np.ndarray:
@@ -145,8 +145,8 @@ def _crowds(members: DataFrame, percent: int) -> DataFrame:
     bucket is cut into overlapping classes of size.
     """
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 0.01))
-    members = stored(members.withColumn("class", F.explode(F.array(size, size + 1)))
-                     .select(F.xxhash64("key", "class").alias("key"), "node", "n", "c", "at"), "near-classes")
+    members = (members.withColumn("class", F.explode(F.array(size, size + 1)))
+               .select(F.xxhash64("key", "class").alias("key"), "node", "n", "c", "at"))
     crowd = stored(members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "near-crowds")
     return stored(members.join(crowd, "key"), "near-crowded")
 
@@ -198,14 +198,14 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         pairs = (members.join(hub, "key").where("node != h and c != hc")
                  .where(room * (100 + percent) >= (F.col("n") + F.col("hn")) * percent)
                  .select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct())
-        if tested is None:
-            pairs = tested = stored(pairs, "near-pairs")
-            links = stored(_linked(pairs, sets, percent), "near-links")
-        else:
-            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-            links = links.unionByName(stored(_linked(pairs, sets, percent), "near-links"))
-            tested = tested.unionByName(pairs)
-        labels = components(links, label="near-labels")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "near-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        found = stored(_linked(pairs, sets, percent), "near-links")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links, label="near-labels")
         # a bucket goes on without the hubs it had, while it holds two components
         rest = stored(members.where("not hub").select("key", "node", "n", "at").join(labels.withColumnRenamed("id", "node"), "node", "left")
                       .select("key", "node", "n", "at", F.coalesce("component", "node").alias("c")), "near-rest")
@@ -214,7 +214,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
             break
         open_ = rest.join(split, "key")
         if not more:
-            open_ = _crowds(_prefixes(stored(open_.select("node", "n", "c").distinct(), "near-open"), sets, percent), percent).drop("m")
+            open_ = _crowds(stored(_prefixes(stored(open_.select("node", "n", "c").distinct(), "near-open"), sets, percent), "near-prefixes"), percent).drop("m")
         more = more * HUBS or HUBS
         members = _with_hubs(open_, more)
 
