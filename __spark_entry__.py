@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from period_etl import (  # noqa: E402
     Storage,
+    analytics_all,
     analytics_period,
     clean_all,
     clean_frame,
@@ -33,12 +34,14 @@ from period_etl import (  # noqa: E402
     read_table,
     run_all,
     scan_parquet,
+    write_partitioned,
     write_table,
 )
 from period_etl.functions import month_key_col, period_key_col  # noqa: E402
 from period_etl.session import scratch_dir, unique_name  # noqa: E402
+from period_etl.sources.landing import list_entry_names  # noqa: E402
 from period_etl.streaming import stream_landing  # noqa: E402
-from period_etl.testing import make_landing  # noqa: E402
+from period_etl.testing import make_landing, shifted_period  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -176,6 +179,138 @@ def q15_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, storage, "orders", "clean")
 
 
+def q16_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries from 1996 on have a further column, those of June store an integer column as double."""
+    root = f"{scratch_dir(spark, 'q16')}/landing"
+    orders = scan_parquet(spark, _t(sf_dir, "orders"))
+    named = orders.withColumn("p", shifted_period(F.col("o_orderdate")))
+    for late in (False, True):
+        for wide in (False, True):
+            some = named.where((F.col("p") >= "1996-01") == late).where((F.substring("p", 6, 2) == "06") == wide)
+            if late:
+                some = some.withColumn("fee", F.col("o_orderkey") % 10)
+            if wide:
+                some = some.withColumn("o_custkey", F.col("o_custkey").cast("double"))
+            some.withColumn("entry", F.concat(F.lit("orders_"), "p")).drop("p").write.mode("append").partitionBy("entry").parquet(root)
+    return clean_frame(spark, root, "o_orderdate").select(*orders.columns, "fee", "period")
+
+
+def _emptied_month(spark: SparkSession, sf_dir: str, storage: Storage, base: str, land: str) -> DataFrame:
+    """A run, March 1996 delivered again without a row of its own, and the run again."""
+    run_all(spark, land, "o_orderdate", storage, "orders")
+    may = scan_parquet(spark, f"{land}/entry=orders_1996-05")
+    may.write.mode("overwrite").parquet(f"{land}/entry=orders_1996-03")
+    run_all(spark, land, "o_orderdate", storage, "orders")
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q17_rerun_emptied_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, land = _landing(spark, sf_dir, "q17")
+    return _emptied_month(spark, sf_dir, Storage(root=f"{base}/out"), base, land)
+
+
+def q18_rerun_emptied_month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, land = _landing(spark, sf_dir, "q18")
+    return _emptied_month(spark, sf_dir, _tables(spark, base), base, land)
+
+
+def q19_analytics_of_stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean files written under one namespace, analysed through a fresh one at the same location."""
+    base, land = _landing(spark, sf_dir, "q19")
+    first, second = _tables(spark, base), _tables(spark, base)
+    periods, _ = clean_all(spark, land, "o_orderdate", first, "orders")
+    analytics_all(spark, second, "orders", periods, "o_orderdate")
+    return read_stage(spark, second, "orders", "analytics")
+
+
+def q20_observed_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded per period as the run itself observed them."""
+    base, land = _landing(spark, sf_dir, "q20")
+    result = run_all(spark, land, "o_orderdate", _tables(spark, base), "orders")
+    return spark.createDataFrame(sorted(result.loaded_rows.items()), "period string, n_rows long")
+
+
+def q21_table_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, land = _landing(spark, sf_dir, "q21")
+    storage = _tables(spark, base)
+    run_all(spark, land, "o_orderdate", storage, "orders", mode="append")
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q22_stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing stream with analytics, started twice: the second start finds nothing new."""
+    base, land = _landing(spark, sf_dir, "q22")
+    storage = Storage(root=f"{base}/out")
+    schema = scan_parquet(spark, _t(sf_dir, "orders")).schema
+    for _ in range(2):
+        query = stream_landing(spark, land, schema, "o_orderdate", storage, "orders")
+        if not query.awaitTermination(900):
+            query.stop()
+            raise TimeoutError("landing stream did not finish within 900 s")
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q23_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, land = _landing(spark, sf_dir, "q23")
+    storage = Storage(root=f"{base}/out", max_records_per_file=50)
+    clean_all(spark, land, "o_orderdate", storage, "orders")
+    stored = scan_parquet(spark, storage.target("orders", "clean"))
+    files = stored.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))
+    return files.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 50).alias("files_over"))
+
+
+def q24_empty_input_no_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "q24")
+    storage = _tables(spark, base)
+    ensure_namespace(spark, storage.namespace, storage.location)
+    orders = scan_parquet(spark, _t(sf_dir, "orders"))
+    report = write_table(filter_by_period(orders, "2999-01", "o_orderdate"), storage.target("orders", "clean"))
+    created = spark.catalog.tableExists(storage.target("orders", "clean"))
+    return orders.agg(F.count("*").alias("source_rows")).select(
+        "source_rows", F.lit(created).alias("created"), F.lit(report.written).alias("written"))
+
+
+def q25_key_must_be_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number and a missing column are refused as partition keys before anything is written."""
+    orders = scan_parquet(spark, _t(sf_dir, "orders"))
+    refused = 0
+    for key in ("o_orderkey", "no_such_column"):
+        try:
+            write_partitioned(orders, f"{scratch_dir(spark, 'q25')}/out", key)
+        except ValueError:
+            refused += 1
+    return orders.agg(F.count("*").alias("source_rows")).select("source_rows", F.lit(refused).alias("refused"))
+
+
+def q26_mixed_entry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry names of several layouts, some with blanks, brackets, escapes and letters beyond ASCII."""
+    _, land = _landing(spark, sf_dir, "q26")
+    layouts = ("orders_{}.parquet", "{} orders.parquet", "orders[v1]_{}", "b\u00e4nde%20{}", "a*{}?")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(land).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, name in enumerate(list_entry_names(spark, land)):
+        fs.rename(path(f"{land}/{name}"), path(path(land), layouts[i % len(layouts)].format(name[-7:])))
+    return read_landing(spark, land)
+
+
+def q27_from_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, then a run of the last three entries that recomputes all periods from their first on."""
+    base, land = _landing(spark, sf_dir, "q27")
+    storage = Storage(root=f"{base}/out")
+    run_all(spark, land, "o_orderdate", storage, "orders")
+    last = list_entry_names(spark, land)[-3:]
+    run_all(spark, land, "o_orderdate", storage, "orders", entries=last, from_min=True)
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q28_last_entry_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two entries of March 1996: the later name, with the even keys only, counts."""
+    _, land = _landing(spark, sf_dir, "q28")
+    march = scan_parquet(spark, f"{land}/entry=orders_1996-03")
+    march.where("o_orderkey % 2 = 0").write.parquet(f"{land}/later_1996-03")
+    return clean_frame(spark, land, "o_orderdate", on_duplicate="last")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -192,6 +327,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q13_load_counts": q13_load_counts,
     "q14_append_rerun": q14_append_rerun,
     "q15_stream_landing": q15_stream_landing,
+    "q16_schema_drift": q16_schema_drift,
+    "q17_rerun_emptied_month": q17_rerun_emptied_month,
+    "q18_rerun_emptied_month_tables": q18_rerun_emptied_month_tables,
+    "q19_analytics_of_stored_files": q19_analytics_of_stored_files,
+    "q20_observed_load_counts": q20_observed_load_counts,
+    "q21_table_analytics": q21_table_analytics,
+    "q22_stream_restarted": q22_stream_restarted,
+    "q23_bounded_files": q23_bounded_files,
+    "q24_empty_input_no_table": q24_empty_input_no_table,
+    "q25_key_must_be_text": q25_key_must_be_text,
+    "q26_mixed_entry_names": q26_mixed_entry_names,
+    "q27_from_min": q27_from_min,
+    "q28_last_entry_wins": q28_last_entry_wins,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -204,6 +352,8 @@ _Q04 = f"SELECT *, {_M} AS period FROM orders WHERE {_M} = {_N}"
 _DAILY = (f"SELECT CAST(o_orderdate AS DATE) AS date, {_M} AS period, "
           f"count(*) AS total_trips FROM orders WHERE {_M} = {_N} GROUP BY 1, 2")
 
+_LOADED = f"SELECT {_M} AS period, count(*) AS n_rows FROM orders WHERE {_M} = {_N} GROUP BY 1"
+
 _ORACLE = {
     "q01_parquet_scan": "SELECT * FROM orders",
     "q02_clean_one_period": _Q02,
@@ -224,12 +374,26 @@ _ORACLE = {
     "q11_null_key_drop": (
         f"SELECT o_orderkey, o_orderdate, {_M} AS period FROM orders WHERE {_M} = {_N}"),
     "q12_daily_rollup": _DAILY,
-    "q13_load_counts": (
-        f"SELECT {_M} AS period, count(*) AS n_rows FROM orders WHERE {_M} = {_N} GROUP BY 1"),
+    "q13_load_counts": _LOADED,
     "q14_append_rerun": (
         f"SELECT date, period, total_trips FROM ({_DAILY}) "
         f"UNION ALL SELECT date, period, 2 * total_trips AS total_trips FROM ({_DAILY})"),
     "q15_stream_landing": _Q04,
+    "q16_schema_drift": (
+        f"SELECT * REPLACE (CAST(o_custkey AS DOUBLE) AS o_custkey), "
+        f"CASE WHEN {_M} >= '1996-01' THEN o_orderkey % 10 END AS fee, {_M} AS period FROM orders WHERE {_M} = {_N}"),
+    "q17_rerun_emptied_month": f"SELECT * FROM ({_DAILY}) WHERE period <> '1996-03'",
+    "q18_rerun_emptied_month_tables": f"SELECT * FROM ({_DAILY}) WHERE period <> '1996-03'",
+    "q19_analytics_of_stored_files": _DAILY,
+    "q20_observed_load_counts": _LOADED,
+    "q21_table_analytics": _DAILY,
+    "q22_stream_restarted": _DAILY,
+    "q23_bounded_files": f"SELECT count(*) AS n_rows, 0 AS files_over FROM orders WHERE {_M} = {_N}",
+    "q24_empty_input_no_table": "SELECT count(*) AS source_rows, false AS created, false AS written FROM orders",
+    "q25_key_must_be_text": "SELECT count(*) AS source_rows, 2 AS refused FROM orders",
+    "q26_mixed_entry_names": f"SELECT *, {_N} AS period FROM orders",
+    "q27_from_min": _DAILY,
+    "q28_last_entry_wins": f"{_Q04} AND ({_M} <> '1996-03' OR o_orderkey % 2 = 0)",
 }
 
 

@@ -43,7 +43,7 @@ def in_month(df: DataFrame, ts_col: str, year: int, month: int) -> Column:
     form, which matches no row.
     """
     ts = F.col(ts_col)
-    bounds = _month_bounds(df.schema[ts_col].dataType, year, month)
+    bounds = _month_bounds(df.select(ts_col).schema[0].dataType, year, month)
     if bounds is None:
         return (F.year(ts) == F.lit(year)) & (F.month(ts) == F.lit(month))
     lo, hi = bounds

@@ -9,6 +9,10 @@ Write modes
                          and other periods are untouched.
 ``overwrite``            replace the whole dataset (paths only).
 
+A caller that knows which key values a write should have covered passes the
+report's ``keys`` and those values to ``drop_keys``: values that the input no
+longer has lose their stored rows too.
+
 No sink shuffles by default. A clean frame arrives from a scan whose tasks
 each read one landing entry, i.e. one period, so every task writes one file
 into one period directory: file count follows input splits, and a hot period
@@ -19,6 +23,7 @@ Spark splits skewed keys and merges small ones there.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -27,24 +32,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from period_etl.fixed import PERIOD
-from period_etl.sources.parquet import partition_values
+from period_etl.sources.parquet import delete_folder, partition_values
+from period_etl.sources.tables import sql_text
 
 MODES = ("append", "overwrite_partitions", "overwrite")
 
 
 @dataclass
 class WriteReport:
-    """What a write did; ``dropped_null_keys`` is read from observed metrics."""
+    """What a write did; rows, keys and dropped null keys are read from observed metrics."""
 
     target: str
     written: bool = True
     _observation: Observation | None = field(default=None, repr=False)
 
+    def _observed(self, name: str, empty):
+        if not self.written or self._observation is None:
+            return empty
+        return self._observation.get.get(name) or empty
+
     @property
     def dropped_null_keys(self) -> int:
-        if not self.written or self._observation is None:
-            return 0
-        return int(self._observation.get.get("dropped_null_keys", 0) or 0)
+        return int(self._observed("dropped_null_keys", 0))
+
+    @property
+    def rows(self) -> int:
+        return int(self._observed("rows", 0))
+
+    @property
+    def keys(self) -> list[str]:
+        """The key values written (one per period)."""
+        return sorted(k for k in self._observed("keys", []) if k is not None)
 
 
 def check_key(df: DataFrame, key: str) -> None:
@@ -59,10 +77,14 @@ def check_key(df: DataFrame, key: str) -> None:
 def drop_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
     """K5: rows with a null key are dropped; their number is observed.
 
-    The count rides along the write as an observed metric: no second pass.
+    The counts ride along the write as observed metrics: no second pass. They
+    are taken in the stage that writes, whose tasks count once each, so apply
+    this after a rebalance.
     """
     obs = Observation()
-    counted = df.observe(obs, F.count_if(F.col(key).isNull()).alias("dropped_null_keys"))
+    null = F.col(key).isNull()
+    counted = df.observe(obs, F.count_if(null).alias("dropped_null_keys"), F.count_if(~null).alias("rows"),
+                         F.collect_set(key).alias("keys"))
     return counted.filter(F.col(key).isNotNull()), obs
 
 
@@ -95,17 +117,25 @@ def write_partitioned(df: DataFrame, path: str, key: str = PERIOD,
     ``__HIVE_DEFAULT_PARTITION__`` directory and read back as null.
     """
     check_key(df, key)
-    obs = None
+    df = _prepare(df, key, rebalance)
     if drop_nulls:
         df, obs = drop_null_keys(df, key)
-    if mode == "overwrite_partitions" and partition_values(df.sparkSession, path, key) == {}:
-        # Nothing stored yet: replacing periods is a plain append, without
-        # the staging folder and per-period renames (copies on object stores).
-        mode = "append"
-    _writer(_prepare(df, key, rebalance), key, mode, max_records_per_file).save(path)
+    else:
+        obs = Observation()
+        df = df.observe(obs, F.count("*").alias("rows"), F.collect_set(key).alias("keys"))
+    _writer(df, key, mode, max_records_per_file).save(path)
     return WriteReport(path, True, obs)
 
 
+def drop_keys(spark: SparkSession, path: str, key: str, values: Iterable[str]) -> list[str]:
+    """Delete the stored rows of the given key values of a hive-style dataset; the values that had some."""
+    folders = partition_values(spark, path, key) or {}
+    gone = [v for v in dict.fromkeys(values) if v in folders]
+    for value in gone:
+        delete_folder(spark, f"{path.rstrip('/')}/{folders[value]}")
+    return gone
+
+
 # --- catalog tables -------------------------------------------------------
 
 @contextmanager
@@ -124,8 +154,7 @@ def _scoped_conf(spark: SparkSession, key: str, value: str):
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K8: create the database if missing (optionally at a shared location)."""
-    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) \
-        if location else ""
+    loc = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{loc}")
 
 
@@ -133,16 +162,29 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def drop_table_keys(spark: SparkSession, table: str, key: str, values: Iterable[str],
+                    folder: str | None = None) -> None:
+    """Drop the partitions of the given key values; ``folder`` is where an external table keeps its files."""
+    if not table_exists(spark, table):
+        return
+    for value in dict.fromkeys(values):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{key}` = {sql_text(value)})")
+    if folder:
+        drop_keys(spark, folder, key, values)
+
+
 def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "append",
                 *, max_records_per_file: int | None = None,
-                rebalance: bool = False) -> WriteReport:
+                rebalance: bool = False, folder: str | None = None) -> WriteReport:
     """K2-K7: write to a catalog table partitioned by ``key``.
 
-    * missing table and empty input: nothing is created (K4);
     * missing table: created from the frame's schema, identity-partitioned by
-      ``key`` (K2);
+      ``key`` (K2), with its files under ``folder`` if that is given;
+    * missing table and empty input: nothing is left behind (K4); the rows
+      are counted by the write itself, so the plan runs once;
     * existing table, ``append``: rows added, columns matched by name (K3);
     * existing table, ``overwrite_partitions``: the input's periods replaced;
+      other columns than the table's raise ``ValueError``;
     * null keys are dropped and counted (K5); ``key`` must be a string (K6);
     * ``max_records_per_file`` rolls output files (K7).
     """
@@ -151,23 +193,30 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
     check_key(df, key)
     spark = df.sparkSession
     exists = table_exists(spark, table)
-    if not exists and df.isEmpty():
-        return WriteReport(table, False)
-    clean, obs = drop_null_keys(df, key)
-    clean = _prepare(clean, key, rebalance)
+    clean, obs = drop_null_keys(_prepare(df, key, rebalance), key)
+    report = WriteReport(table, True, obs)
     if not exists or mode == "append":
         # saveAsTable creates the table or appends to it, by column name.
-        _writer(clean, key, "append", max_records_per_file).saveAsTable(table)
-    else:
-        cols = spark.table(table).columns
-        missing = sorted(set(cols) - set(clean.columns))
-        if missing:
-            raise ValueError(f"columns {missing} of {table} missing from input")
-        w = clean.select(*cols).write
-        if max_records_per_file:
-            w = w.option("maxRecordsPerFile", int(max_records_per_file))
-        # insertInto is positional (hence the select) and ignores a writer
-        # option for the overwrite mode, so the session setting is scoped.
-        with _scoped_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            w.insertInto(table, overwrite=True)
-    return WriteReport(table, True, obs)
+        w = _writer(clean, key, "append", max_records_per_file)
+        if folder and not exists:
+            w = w.option("path", folder)
+        w.saveAsTable(table)
+        if not exists and not report.rows:
+            spark.sql(f"DROP TABLE {table}")
+            if folder:
+                delete_folder(spark, folder)
+            report.written = False
+        return report
+    cols = spark.table(table).columns
+    known, given = ({c.lower() for c in names} for names in (cols, clean.columns))
+    for names, what in ((known - given, "missing from input"), (given - known, "not in the table")):
+        if names:
+            raise ValueError(f"columns {sorted(names)} {what}: {table}")
+    w = clean.select(*cols).write
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    # insertInto is positional (hence the select) and ignores a writer
+    # option for the overwrite mode, so the session setting is scoped.
+    with _scoped_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        w.insertInto(table, overwrite=True)
+    return report

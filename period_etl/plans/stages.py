@@ -8,7 +8,7 @@ tables in a namespace.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +20,8 @@ from period_etl.operators.clean import filter_by_period
 from period_etl.operators.rollup import daily_counts
 from period_etl.operators.sinks import (
     WriteReport,
+    drop_keys,
+    drop_table_keys,
     ensure_namespace,
     table_exists,
     write_partitioned,
@@ -29,6 +31,7 @@ from period_etl.sources.landing import list_landing, read_landing_clean
 from period_etl.sources.parquet import (
     key_filter,
     partition_values,
+    path_exists,
     read_partitioned,
     scan_parquet,
     stored_values,
@@ -46,13 +49,16 @@ class Storage:
     Path mode (``root``): ``{root}/clean/{data_id}.parquet`` and
     ``{root}/analytics/{data_id}.parquet``. Table mode (``namespace``):
     ``{namespace}.{data_id}_clean`` and ``{namespace}.{data_id}_analytics``;
-    ``location`` places a new namespace on shared storage.
+    ``location`` is the folder under which the tables keep their files, also
+    in a namespace that exists already. ``rebalance`` adds one exchange by
+    period before a write, for landing sets of many small files.
     """
 
     root: str | None = None
     namespace: str | None = None
     location: str | None = None
     max_records_per_file: int | None = None
+    rebalance: bool = False
 
     def __post_init__(self):
         if (self.root is None) == (self.namespace is None):
@@ -86,15 +92,44 @@ def _attach_if_stored(spark: SparkSession, storage: Storage, data_id: str, stage
 
 
 def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
-                mode: str) -> WriteReport:
+                mode: str, run_periods: Sequence[str] | None = None) -> WriteReport:
+    """Store a stage's rows. With ``run_periods`` (the periods that the rows
+    stand for) ``overwrite_partitions`` also drops the stored rows of those
+    periods that the rows don't have any more, so a rerun leaves what a first
+    run would."""
+    spark, target = df.sparkSession, storage.target(data_id, stage)
+    limits = {"max_records_per_file": storage.max_records_per_file, "rebalance": storage.rebalance}
+    if storage.tables:
+        ensure_namespace(spark, storage.namespace, storage.location)
+        _attach_if_stored(spark, storage, data_id, stage)
+        report = write_table(df, target, KEY, mode, folder=storage.table_folder(data_id, stage), **limits)
+    else:
+        report = write_partitioned(df, target, KEY, mode, **limits)
+    if run_periods is not None and mode == "overwrite_partitions":
+        drop_periods(spark, storage, data_id, stage, set(run_periods) - set(report.keys))
+    return report
+
+
+def drop_periods(spark: SparkSession, storage: Storage, data_id: str, stage: str,
+                 periods: Iterable[str]) -> None:
+    """Drop a stage's stored rows of the given periods."""
+    gone = sorted(periods)
+    if not gone:
+        return
     target = storage.target(data_id, stage)
     if storage.tables:
-        ensure_namespace(df.sparkSession, storage.namespace, storage.location)
-        _attach_if_stored(df.sparkSession, storage, data_id, stage)
-        return write_table(df, target, KEY, mode,
-                           max_records_per_file=storage.max_records_per_file)
-    return write_partitioned(df, target, KEY, mode,
-                             max_records_per_file=storage.max_records_per_file)
+        _attach_if_stored(spark, storage, data_id, stage)
+        drop_table_keys(spark, target, KEY, gone, storage.table_folder(data_id, stage))
+    else:
+        drop_keys(spark, target, KEY, gone)
+
+
+def stage_exists(spark: SparkSession, storage: Storage, data_id: str, stage: str) -> bool:
+    target = storage.target(data_id, stage)
+    if not storage.tables:
+        return path_exists(spark, target)
+    _attach_if_stored(spark, storage, data_id, stage)
+    return table_exists(spark, target)
 
 
 def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
@@ -121,29 +156,31 @@ def clean_period(spark: SparkSession, path: str, period: str, ts_col: str,
                  storage: Storage, data_id: str, mode: str = "append") -> WriteReport:
     """L1: one landing file, one period: scan, month filter, ``period``, store."""
     df = filter_by_period(scan_parquet(spark, path), period, ts_col)
-    return write_stage(df, storage, data_id, CLEAN, mode)
+    return write_stage(df, storage, data_id, CLEAN, mode, [period])
 
 
 def clean_frame(spark: SparkSession, landing_root: str, ts_col: str,
                 entries: Sequence[str] | None = None,
-                on_duplicate: str = "error") -> DataFrame:
-    """L2 as a frame: every landing entry, cleaned against its own period."""
-    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate)
+                on_duplicate: str = "error", **options: str) -> DataFrame:
+    """L2 as a frame: every landing entry, cleaned against its own period;
+    ``options`` go to the Parquet reader."""
+    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate, **options)
 
 
 def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,
               data_id: str, mode: str = "overwrite_partitions",
               entries: Sequence[str] | None = None,
-              on_duplicate: str = "error") -> tuple[list[str], WriteReport]:
-    """L2: all periods of a landing set in one scan and one write."""
+              on_duplicate: str = "error", **options: str) -> tuple[list[str], WriteReport]:
+    """L2: all periods of a landing set in one scan and one write; ``options``
+    go to the Parquet reader."""
     chosen = list_landing(spark, landing_root, entries, on_duplicate)
     names = [e.name for e in chosen]
     log.info("clean: %d landing entries (%s .. %s) -> %s, mode=%s", len(chosen),
              min(e.period for e in chosen), max(e.period for e in chosen),
              storage.target(data_id, CLEAN), mode)
-    df = clean_frame(spark, landing_root, ts_col, names, "error")
-    report = write_stage(df, storage, data_id, CLEAN, mode)
-    return sorted(e.period for e in chosen), report
+    df = clean_frame(spark, landing_root, ts_col, names, "error", **options)
+    periods = sorted(e.period for e in chosen)
+    return periods, write_stage(df, storage, data_id, CLEAN, mode, periods)
 
 
 # --- analytics ------------------------------------------------------------
@@ -196,12 +233,21 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
 
     The aggregate also counts all loaded rows per day; that small table
     (bounded by calendar days) is handed back as an observed metric, which
-    gives A2 without a second pass. The result is hashed by period before
-    the write: one file per period, never more rows than days.
+    gives A2 without a second pass. It is observed in the stage that writes,
+    after the exchange, so a repeated map task counts once. The result is
+    hashed by period before the write: one file per period, never more rows
+    than days. A clean target that does not exist raises ``FileNotFoundError``;
+    one without these periods gives a report with ``written=False``, and
+    ``overwrite_partitions`` then drops what analytics had stored for them.
     """
     for p in periods:
         parse_period(p)
     target = storage.target(data_id, ANALYTICS)
+    if not stage_exists(spark, storage, data_id, CLEAN):
+        raise FileNotFoundError(f"no clean data stored at {storage.target(data_id, CLEAN)}")
+    stale = set(periods)
+    if from_min and mode == "overwrite_partitions":
+        stale |= {p for p in _stored_periods(spark, storage, data_id, ANALYTICS) if p >= min(periods)}
     if not storage.tables:
         stored = stored_values(spark, storage.target(data_id, CLEAN), KEY)
         wanted = set(periods)
@@ -209,21 +255,33 @@ def analytics_all(spark: SparkSession, storage: Storage, data_id: str,
                                        if (p >= min(periods) if from_min else p in wanted)]:
             # No clean rows stored for these periods: nothing to count.
             log.info("analytics: no clean rows stored for %d periods", len(periods))
+            if mode == "overwrite_partitions":
+                drop_periods(spark, storage, data_id, ANALYTICS, stale)
             return AnalyticsReport(WriteReport(target, written=False))
-    elif not table_exists(spark, storage.target(data_id, CLEAN)):
-        return AnalyticsReport(WriteReport(target, written=False))
     log.info("analytics: %d periods%s -> %s, mode=%s", len(periods),
              " and every later stored one" if from_min else "", target, mode)
     clean = _run_clean(spark, storage, data_id, periods, from_min)
     per_day = daily_counts(clean, ts_col, KEY, with_row_counts=True)
-    obs = Observation()
-    per_day = per_day.observe(obs, F.collect_list(F.struct(KEY, "n_rows")).alias("day_rows"))
     # Tiny, calendar-bounded output: spread its periods over at most one
     # task per period (an explicit count, so AQE does not fold every
     # period's file into a single writing task).
-    tasks = max(1, min(len(set(periods)), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    out = per_day.select(DATE, KEY, TOTAL).repartition(tasks, KEY)
-    return AnalyticsReport(write_stage(out, storage, data_id, ANALYTICS, mode), obs)
+    setting = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    tasks = max(1, min(len(set(periods)), int(setting) if setting.isdigit() else 200))
+    obs = Observation()
+    per_day = per_day.repartition(tasks, KEY).observe(
+        obs, F.collect_list(F.struct(KEY, "n_rows")).alias("day_rows"))
+    out = per_day.select(DATE, KEY, TOTAL)
+    return AnalyticsReport(write_stage(out, storage, data_id, ANALYTICS, mode, stale), obs)
+
+
+def _stored_periods(spark: SparkSession, storage: Storage, data_id: str, stage: str) -> list[str]:
+    """The periods that a stage has stored, from the partition list alone."""
+    if not stage_exists(spark, storage, data_id, stage):
+        return []
+    target = storage.target(data_id, stage)
+    if not storage.tables:
+        return stored_values(spark, target, KEY) or []
+    return [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
 
 
 def analytics_period(spark: SparkSession, storage: Storage, data_id: str, period: str,
@@ -248,19 +306,23 @@ class RunResult:
 def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,
             data_id: str, mode: str = "overwrite_partitions",
             entries: Sequence[str] | None = None, on_duplicate: str = "error",
-            from_min: bool = False) -> RunResult:
+            from_min: bool = False, **options: str) -> RunResult:
     """L5: ingest (list the landing set), clean all periods, then analytics.
 
     Two passes over the data in all (clean, then analytics of the stored
     clean rows), whatever the number of periods. ``mode`` applies to both
-    stages: ``overwrite_partitions`` makes reruns idempotent, ``append``
+    stages: ``overwrite_partitions`` makes reruns idempotent (a period of the
+    run that has no rows any more loses its stored ones), ``append``
     keeps the append-only behaviour (a rerun doubles the clean rows and adds
     a second row per day). ``from_min`` recomputes analytics for every
     stored period from the run's earliest one on.
     """
     periods, clean = clean_all(spark, landing_root, ts_col, storage, data_id, mode,
-                               entries, on_duplicate)
-    analytics = analytics_all(spark, storage, data_id, periods, ts_col, mode, from_min)
+                               entries, on_duplicate, **options)
+    if clean.written:
+        analytics = analytics_all(spark, storage, data_id, periods, ts_col, mode, from_min)
+    else:  # a first run without a row in its months creates no table
+        analytics = AnalyticsReport(WriteReport(storage.target(data_id, ANALYTICS), written=False))
     result = RunResult(periods, clean, analytics)
     if log.isEnabledFor(logging.INFO):
         for period, rows in sorted(result.loaded_rows.items()):

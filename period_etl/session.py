@@ -3,7 +3,8 @@
 Library functions never change session settings. Scratch space (query
 fixtures, lineage cuts) lives under the folder the cluster names in
 ``spark.checkpoint.dir``; a private folder is created only when that setting
-is unset, which is the case in plain local tests.
+is unset in a local session, which is the case in plain local tests. On a
+cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="period_etl-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StructType
 
 from period_etl.fixed import PERIOD
 from period_etl.functions.periods import (
@@ -35,6 +36,7 @@ from period_etl.functions.periods import (
     shared_period_offset,
     strip_scheme,
 )
+from period_etl.sources.parquet import literal_path
 
 _FILE_PATH = "__period_etl_file_path"
 
@@ -129,6 +131,54 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     return df.withColumn(PERIOD, period).drop(file_path_col)
 
 
+def _wider(spark: SparkSession, a: LandingEntry, x: DataType, b: LandingEntry, y: DataType, name: str) -> DataType:
+    """The type that holds a column's values of both entries; only numbers widen."""
+    if x == y:
+        return x
+    if isinstance(x, NumericType) and isinstance(y, NumericType):
+        both = spark.range(0).select(F.coalesce(F.lit(None).cast(x), F.lit(None).cast(y)).alias("v"))
+        return both.schema["v"].dataType
+    raise ValueError(f"column {name!r} is {x.simpleString()} in {a.name!r} and {y.simpleString()} in {b.name!r}")
+
+
+def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dict) -> DataFrame:
+    """All entries with the columns of all of them, a missing column as null, and each row's file path.
+
+    The footers decide (one Spark job, no data read). Entries that agree or
+    only lack columns are one scan. If a column's type differs, the entries
+    are scanned once for each distinct schema, numbers are widened, and the
+    scans are joined by name; other differences raise ``ValueError``.
+    """
+    def scan(some, schema=None):
+        reader = spark.read.options(**options)
+        reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", options.get("mergeSchema", "true"))
+        return reader.parquet(*[literal_path(e.path) for e in some])
+
+    def tagged(df):
+        # Take only file_path out of _metadata right at the scan.
+        return df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+
+    try:
+        return tagged(scan(entries))
+    except Exception as exc:
+        if "MERGE" not in str(exc).upper():
+            raise
+    kinds: dict[str, tuple[LandingEntry, DataType]] = {}
+    groups: dict[str, tuple[StructType, list[LandingEntry]]] = {}
+    for entry in entries:
+        schema = scan([entry]).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(entry)
+        for f in schema:
+            first, kind = kinds.get(f.name, (entry, f.dataType))
+            kinds[f.name] = first, _wider(spark, first, kind, entry, f.dataType, f.name)
+    out = None
+    for schema, some in groups.values():
+        df = tagged(scan(some, schema))
+        df = df.select(*[F.col(f"`{f.name}`").cast(kinds[f.name][1]).alias(f.name) for f in schema], _FILE_PATH)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out.select(*[f"`{name}`" for name in kinds], _FILE_PATH)
+
+
 def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
           on_duplicate: str, options: dict) -> tuple[DataFrame, Column, bool]:
     """One scan of the chosen entries plus the per-row period expression.
@@ -140,9 +190,7 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
     """
     root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
-    df = spark.read.options(**options).parquet(*[e.path for e in chosen])
-    # Take only file_path out of _metadata right at the scan.
-    df = df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+    df = _read_entries(spark, chosen, options)
     fp = F.col(_FILE_PATH)
     offset = shared_period_offset((e.name, e.period) for e in chosen)
     if offset is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -65,6 +66,24 @@ def partition_values(spark: SparkSession, path: str, key: str) -> dict[str, str]
         return None
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a stored folder through the Hadoop file system; a missing one is fine."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def literal_path(path: str) -> str:
+    """The path with characters escaped that a reader would expand as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _string_key(df: DataFrame, key: str) -> DataFrame:
     if key in df.columns and not isinstance(df.schema[key].dataType, StringType):
         return df.withColumn(key, F.col(key).cast("string"))
@@ -73,29 +92,34 @@ def _string_key(df: DataFrame, key: str) -> DataFrame:
 
 def read_partitioned(spark: SparkSession, path: str, key: str = PERIOD,
                      periods: str | Iterable[str] | None = None,
-                     schema: StructType | None = None) -> DataFrame:
+                     schema: StructType | None = None, **options: str) -> DataFrame:
     """S3: scan a hive-style dataset, keeping only the given key values.
 
     With ``periods`` given, only those ``key=value`` folders are listed and
     read (``basePath`` keeps ``key`` as a column), so the cost of a run's
     read follows the run, not the dataset's history; the equality (or IN)
     filter still shows as ``PartitionFilters``. A key Spark inferred as a
-    number is read back as a string, the only legal key type.
+    number is read back as a string, the only legal key type. Periods may
+    have been stored with different columns: their schemas are merged from
+    the footers (``mergeSchema="false"`` in ``options`` trusts one footer), a
+    missing column reads as null.
     """
     wanted = _as_list(periods)
+    if schema is None:
+        options = {"mergeSchema": "true", **options}
     if wanted is None:
-        return _string_key(scan_parquet(spark, path, schema=schema), key)
+        return _string_key(scan_parquet(spark, path, schema=schema, **options), key)
     folders = partition_values(spark, path, key)
     if folders:
         hits = [folders[v] for v in dict.fromkeys(wanted) if v in folders]
         if hits:
             base = path.rstrip("/")
             df = scan_parquet(spark, *[f"{base}/{h}" for h in hits],
-                              schema=schema, basePath=base)
+                              schema=schema, basePath=base, **options)
             return key_filter(_string_key(df, key), key, wanted)
     # Nothing to narrow to (or not listable): the pruned scan of the whole
     # dataset gives the same rows, an empty frame when none match.
-    return key_filter(_string_key(scan_parquet(spark, path, schema=schema), key), key, wanted)
+    return key_filter(_string_key(scan_parquet(spark, path, schema=schema, **options), key), key, wanted)
 
 
 def stored_values(spark: SparkSession, path: str, key: str = PERIOD) -> list[str] | None:

@@ -18,7 +18,7 @@ def read_table(spark: SparkSession, table: str, column: str | None = None,
     return df
 
 
-def _sql_text(value: str) -> str:
+def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -30,6 +30,6 @@ def attach_table(spark: SparkSession, table: str, location: str) -> DataFrame:
     columns taken from the files) and recovers its partitions, so a later
     session can read, append to or overwrite the same table.
     """
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION {_sql_text(location)}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION {sql_text(location)}")
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)

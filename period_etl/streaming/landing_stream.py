@@ -22,7 +22,6 @@ from pyspark.sql.types import StructType
 from period_etl.fixed import CLEAN, PERIOD
 from period_etl.operators.clean import clean_tagged
 from period_etl.plans.stages import Storage, analytics_all, write_stage
-from period_etl.session import scratch_dir
 from period_etl.sources.landing import qualify, tag_period
 
 _FP = "__period_etl_file_path"
@@ -40,6 +39,14 @@ def read_landing_stream(spark: SparkSession, root: str, schema: StructType,
     return tag_period(df, root, _FP, checked=True)
 
 
+def _checkpoint(storage: Storage, data_id: str) -> str:
+    """The stream's own folder beside its output: the same in every run, so a restart goes on where it was."""
+    base = storage.root or storage.location
+    if base is None:
+        raise ValueError("a namespace without a location needs checkpoint_location")
+    return f"{base.rstrip('/')}/_streams/{data_id}"
+
+
 def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: str,
                    storage: Storage, data_id: str, checkpoint_location: str | None = None,
                    analytics: bool = True, available_now: bool = True,
@@ -48,10 +55,14 @@ def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: s
                    **source_options: str) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops.
 
+    Without ``checkpoint_location`` the progress is kept beside the output
+    (``_streams/{data_id}``), so a later start reads new files only.
+
     ``source_options`` go to the file source, e.g. ``maxFileAge`` or
     ``cleanSource="archive"`` with ``sourceArchiveDir`` to keep the listing
     of a long-running stream from growing with its history.
     """
+    ckpt = checkpoint_location or _checkpoint(storage, data_id)
     options = dict(source_options)
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -68,7 +79,6 @@ def stream_landing(spark: SparkSession, root: str, schema: StructType, ts_col: s
             analytics_all(batch.sparkSession, storage, data_id, periods, ts_col,
                           "overwrite_partitions")
 
-    ckpt = checkpoint_location or scratch_dir(spark, f"stream-{data_id}")
     writer = clean.writeStream.foreachBatch(one_batch).option("checkpointLocation", ckpt)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

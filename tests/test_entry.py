@@ -22,11 +22,15 @@ def duck():
     return con
 
 
+#: The library's own queries; the optional operators' have their tests beside them.
+OWN = sorted(n for n in E.queries() if n.startswith("q"))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) == {n for n in E.oracle_sql() if n.startswith("q")}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
