@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from period_etl.llm.common import stored
 from period_etl.llm.native import anchors, bit_sum, bounded, shingle_array, word_array
+from period_etl.session import unique_name
 
 RADIUS = 15
 BLOCK_BITS = 64 // (RADIUS + 1)
@@ -84,6 +85,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found."""
-    hit = stored(leaks(docs, benchmark, id_col, text_col, **settings).select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct(), "decon-hit")
-    same = (F.xxhash64(text_col) == F.col("_h")) & F.col(id_col).cast("long").eqNullSafe(F.col("_i"))
+    i, h = unique_name("decon"), unique_name("decon")  # names that no column of docs has
+    hit = stored(leaks(docs, benchmark, id_col, text_col, **settings).select(F.col("doc_id").alias(i), F.col("text_hash").alias(h)).distinct(), "decon-hit")
+    same = (F.xxhash64(text_col) == F.col(h)) & F.col(id_col).cast("long").eqNullSafe(F.col(i))
     return docs.join(hit, same, "left_anti")

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from period_etl.llm import textnp
 from period_etl.llm.common import components, ship, stored
 from period_etl.llm.textnp import U64, mix
+from period_etl.session import unique_name
 
 BANDS, ROWS = 32, 5
 #: Hubs of a bucket in the second round, and how many times more there are in each round after it.
@@ -238,8 +239,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     hash; of equal rows, any). Rows without words stay."""
     out = stored(grouped(docs, id_col, text_col, **settings), "near-groups")
     first = F.min(F.struct(F.coalesce("id", F.lit((1 << 63) - 1)), "t", "id"))
-    stay = stored(out.where("c is not null").groupBy("c").agg(first.alias("s")).select(F.col("s.id").alias("_id"), F.col("s.t").alias("_t")), "near-stay")
-    keyed = docs.withColumns({"_k": F.col(id_col).cast("long"), "_h": F.xxhash64(text_col)})
+    # names that no column of docs has
+    key, hash_, id_, t = (unique_name("near") for _ in range(4))
+    stay = stored(out.where("c is not null").groupBy("c").agg(first.alias("s")).select(F.col("s.id").alias(id_), F.col("s.t").alias(t)), "near-stay")
+    keyed = docs.withColumns({key: F.col(id_col).cast("long"), hash_: F.xxhash64(text_col)})
     blank = ~F.coalesce(text_col, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    one = keyed.where(~blank).join(stay, F.col("_h").eqNullSafe(F.col("_t")) & F.col("_k").eqNullSafe(F.col("_id")), "left_semi")
-    return one.dropDuplicates(["_k", "_h"]).unionByName(keyed.where(blank)).drop("_k", "_h")
+    one = keyed.where(~blank).join(stay, F.col(hash_).eqNullSafe(F.col(t)) & F.col(key).eqNullSafe(F.col(id_)), "left_semi")
+    return one.dropDuplicates([key, hash_]).unionByName(keyed.where(blank)).drop(key, hash_)
