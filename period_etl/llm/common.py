@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 from period_etl.session import scratch_dir
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 _ROW_BITS = 33  # monotonically_increasing_id: the partition above, the row below
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the session's Python workers, once for each application."""
+    """Send this package to the session's Python workers, once for each application, and bound their batches.
+
+    Batches of whole texts need not hold 10,000 rows: where the session has
+    Spark's default, it is set to 1,000, which bounds the memory beside the heap.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]

@@ -19,7 +19,7 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Endings that form a piece with the apostrophe before them (fixed values).
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Distinct pieces that a worker remembers; about 40 bytes each.
-CACHE_PIECES = 4_000_000
+CACHE_PIECES = 2_000_000
 
 
 @cache

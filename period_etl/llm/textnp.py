@@ -19,7 +19,7 @@ U64 = np.uint64
 _PHI = U64(0x9E3779B97F4A7C15)
 #: Odd multipliers of the two polynomials: bytes of a word, words of a shingle.
 _P, _K = U64(0x2545F4914F6CDD1D), U64(0xD1342543DE82EF95)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
