@@ -44,6 +44,8 @@ MAX_BYTES = 512 << 20
 MU = 4.0
 #: N-grams that one slice of the counts holds, about.
 PER_SLICE = 2_000_000
+#: Tokens that a task counts before it hands them on, about.
+HELD = 1_200_000
 START, END = mix(np.array([0x5354415254], U64))[0], mix(np.array([0x454E44], U64))[0]
 _STEP, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _PAIR = U64(0xD6E8FEB86659FD93)
@@ -147,7 +149,7 @@ def _counted(train: DataFrame, slices: int) -> DataFrame:
                 for kind, hashes in ((1, word), (2, pair)):
                     held[kind].append(_sum(hashes, np.ones(len(hashes), np.int64)))
                 size += len(word)
-                if size > 4_000_000:  # a task's counts leave in parts, so its memory is bounded
+                if size > HELD:  # a task's counts leave in parts, so its memory is bounded
                     for kind in held:
                         yield batch_of(list(rows(kind, *map(np.concatenate, zip(*held[kind], strict=True)))))
                     held, size = {1: [], 2: []}, 0
@@ -196,14 +198,15 @@ def _vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     each = [_unblob(bytes(r.blob)) for r in counts.where("kind = 1").select("blob").toLocalIterator()]
     hashes = np.concatenate([np.zeros(0, U64), *(h for h, _ in each)])
     order = np.argsort(hashes)
-    return hashes[order], np.concatenate([np.zeros(0, np.int64), *(c for _, c in each)])[order]
+    counts_ = np.concatenate([np.zeros(0, np.int64), *(c for _, c in each)])[order]
+    return hashes[order], counts_.astype(np.uint32) if counts_.max(initial=0) < 1 << 32 else counts_
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.zeros(len(hashes), np.int64)
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    return np.where(keys[at] == hashes, values[at], 0)
+    return np.where(keys[at] == hashes, values[at], 0).astype(np.int64)
 
 
 def _log_probability(model: LogFilter, word: np.ndarray, doc: np.ndarray, pair: np.ndarray, n: int) -> np.ndarray:
