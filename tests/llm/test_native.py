@@ -19,11 +19,12 @@ def brute_leaks(data, items, k=5, percent=80):
     out = set()
     for doc, text in data:
         w = words(text)
+        mine = {tuple(w[i:i + n]) for n in range(1, k + 1) for i in range(len(w) - n + 1)}
         for item, its in items:
             v = words(its)
-            if not v:
-                continue
             b = shingle_counts(v, k)
+            if not v or not mine & b.keys():
+                continue
             for s in range(len(w) - len(v) + 1):
                 a = shingle_counts(w[s:s + len(v)], k)
                 if 100 * sum((a & b).values()) >= percent * sum((a | b).values()):

@@ -35,18 +35,18 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(df.columns) == sorted(columns) and digest(df.columns, rows) == digest(columns, cur.fetchall())
 
 
-def test_pipeline_equals_its_stages_by_brute_force(spark, duck):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    (_, quality), (_, dedup), (_, clean), (_, encode) = corpus_pipeline.STAGES
-    first = quality(spark, docs, SF)
-    assert first.columns == docs.columns
-    left = [(r.doc_id, r.text) for r in first.collect()]
-    want = {d for d, _, _, kept in groups(left, 5) if kept}
-    second = dedup(spark, first, SF)
-    assert second.columns == docs.columns and {r.doc_id for r in second.collect()} == want
+def test_pipeline_equals_its_stages_by_brute_force(spark, duck, monkeypatch):
+    kept, docs = {}, spark.read.parquet(f"{SF}/documents.parquet")
+    store = corpus_pipeline.stored
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, label: kept.setdefault(label.removeprefix("pipeline-"), store(df, label)))
+    encoded = corpus_pipeline.run(spark, SF)
+    assert [name for name, _ in corpus_pipeline.STAGES] == list(kept)
+    assert all(kept[name].columns == docs.columns for name, _ in corpus_pipeline.STAGES[:-1])
+    left = [(r.doc_id, r.text) for r in kept["quality_rules"].collect()]
+    want = {d for d, _, _, first in groups(left, 5) if first}
+    assert {r.doc_id for r in kept["near_dedup"].collect()} == want
     items = [(i, (t or "").lower()) for i, t in duck.execute("SELECT item_id, text FROM benchmark").fetchall()]
-    leaked = {d for d, _ in brute_leaks([(d, t.lower()) for d, t in left if d in want], items)}
-    third = clean(spark, second, SF)
-    assert third.columns == docs.columns and {r.doc_id for r in third.collect()} == want - leaked
-    assert {r.doc_id for r in encode(spark, third, SF).collect()} == want - leaked
-    assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == want - leaked
+    want -= {d for d, _ in brute_leaks([(d, t.lower()) for d, t in left if d in want], items)}
+    assert {r.doc_id for r in kept["decontamination"].collect()} == want == {r.doc_id for r in encoded.collect()}
+    labels = dict(duck.execute("SELECT doc_id, quality FROM labels").fetchall())
+    assert all(labels.get(d, 1) == 1 for d, _ in left)
