@@ -1,7 +1,8 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly, copies of a text stay together.
 
-Rows with equal text form a group; a group larger than a PIECES-th of a
-shard's share is cut into pieces by the hash of its ids. Pieces are dealt by
+Rows with equal text form a group; a group with more bytes than a PIECES-th of
+a shard's share, or more rows than a whole share, is cut into pieces by the
+hash of its ids. Pieces are dealt by
 hash to packing partitions. In each, largest first, a piece goes to that of
 the partition's ``shards`` bins where the dot product of its (bytes, tokens,
 rows) with the bin's residual capacity is highest, each dimension measured in
@@ -46,8 +47,8 @@ def place(items: np.ndarray, shards: int, capacity: np.ndarray) -> np.ndarray:
     return out
 
 
-def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of ``docs``."""
+def _seats(docs: DataFrame, shards: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, size, text_crc32, t1, shard, slot) for each row of ``docs``; t1 is the text's xxhash64."""
     spark = docs.sparkSession
     ship(spark)
     text = F.col(text_col)
@@ -59,8 +60,10 @@ def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", tex
     groups = stored(rows.groupBy("t1", "t2").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "shard-groups")
     total = groups.agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"), F.count("*").alias("n")).first()
     limit = max(1, (total.bytes or 0) // (shards * PIECES))
-    # groups beyond the limit are fewer than shards * PIECES: their list has a proven bound
-    big = groups.where(F.col("bytes") > limit).select("t1", "t2", F.ceil(F.col("bytes") / limit).cast("int").alias("pieces"))
+    share = max(1, (total.rows or 0) // shards)
+    wanted = F.greatest(F.ceil(F.col("bytes") / limit), F.when(F.col("rows") > share, F.ceil(F.col("rows") * PIECES / share)))
+    # fewer than shards * PIECES groups are beyond the limit and than shards + 1 beyond the share: their list has a proven bound
+    big = groups.where((F.col("bytes") > limit) | (F.col("rows") > share)).select("t1", "t2", wanted.cast("int").alias("pieces"))
     rows = rows.join(F.broadcast(big), ["t1", "t2"], "left").withColumn(
         "piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id", "t1"), F.col("pieces"))).otherwise(F.lit(0)).cast("int")).drop("pieces")
     n = max(1, round(total.n / PER_PARTITION))
@@ -105,14 +108,20 @@ def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", tex
         before[number] = before.get(number, 0) + count
     offset = F.broadcast(spark.createDataFrame(offsets, "_part int, shard int, offset long"))
     return seated.join(offset, ["_part", "shard"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_row") + F.col("offset")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+        "doc_id", "size", "text_crc32", "t1", "shard", (F.col("_row") + F.col("offset")).alias("slot"))
+
+
+def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of ``docs``."""
+    return _seats(docs, shards, id_col, text_col).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def write_shards(docs: DataFrame, out: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the rows' ids and texts as Parquet folders ``shard=0`` and so on, each row with its slot."""
-    seats = assign_shards(docs, shards, id_col, text_col).select(F.col("doc_id").alias("_i"), F.col("text_crc32").alias("_c"), "shard", "slot")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn(
-        "_c", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    same = keyed["doc_id"].eqNullSafe(seats["_i"]) & (keyed["_c"] == seats["_c"])
-    keyed.join(seats, same).select("doc_id", "text", "shard", "slot").dropDuplicates(["shard", "slot"]).write.partitionBy("shard").parquet(out)
+    seats = _seats(docs, shards, id_col, text_col).select(F.col("doc_id").alias("_i"), "t1", "shard", "slot")
+    # equal rows are told apart by their slots alone, so one of them lends its text to all
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("_t"))
+    texts = texts.dropDuplicates(["doc_id", "_t"])
+    same = texts["doc_id"].eqNullSafe(seats["_i"]) & (texts["_t"] == seats["t1"])
+    seats.join(texts, same).select("doc_id", "text", "shard", "slot").write.partitionBy("shard").parquet(out)
