@@ -79,10 +79,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start", "n_words", "common", "whole")
 
 
+def _grams(words: str, k: int) -> str:
+    """SQL for (doc_id, m, pos, g): the k-word shingles of each document; ``words`` makes its m words from ``text``."""
+    rest = "".join(f", lead(x, {i}) OVER o" for i in range(1, k))
+    return (f"SELECT doc_id, m, pos, g FROM (SELECT doc_id, m, pos, CASE WHEN m <= {k} THEN whole ELSE concat_ws(' ', x{rest}) END AS g "
+            f"FROM (SELECT doc_id, len(w) AS m, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS pos, "
+            f"CASE WHEN len(w) <= {k} THEN array_to_string(w, ' ') END AS whole FROM (SELECT doc_id, {words} AS w FROM documents)) "
+            f"WINDOW o AS (PARTITION BY doc_id ORDER BY pos)) WHERE pos <= greatest(m - {k}, 0)")
+
+
 _OP5 = f"""
-WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+WITH RECURSIVE s AS (SELECT DISTINCT doc_id, g FROM ({_grams(_WORDS, 4)})),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
@@ -107,8 +114,7 @@ WITH t AS (SELECT license, w, greatest({LEAST_CLASS}, 2 ** ceil(log2(len(w))))::
            FROM (SELECT license, {_ALNUM} AS w FROM (VALUES {_VALUES}) v(license, text))),
 ts AS (SELECT license, c, unnest(list_distinct({_shingled('w', K)})) AS g FROM t),
 n AS (SELECT license, count(*) AS total FROM ts GROUP BY 1),
-d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
-s AS (SELECT doc_id, len(w) AS m, unnest({_shingled('w', K)}) AS g, generate_subscripts({_shingled('w', K)}, 1) - 1 AS pos FROM d),
+s AS ({_grams(_ALNUM, K)}),
 a AS (SELECT doc_id, m, license, c, g, pos, unnest([pos // c * c, pos // c * c - c]) AS start FROM s JOIN ts USING (g)),
 h AS (SELECT doc_id, license, start, least(2 * c, m - start) AS n_words, count(DISTINCT g) AS common FROM a
       WHERE start >= 0 AND pos + {K} <= start + 2 * c GROUP BY ALL)
@@ -119,8 +125,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY common DESC, st
 _OP10 = f"""
 WITH i AS (SELECT item_id, w, len(w) AS n_words, {_shingled('w', 5)} AS gs FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
 ig AS (SELECT item_id, n_words, unnest(gs) AS g, generate_subscripts(gs, 1) - 1 AS o FROM i),
-d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-s AS (SELECT doc_id, len(w) AS m, unnest({_shingled('w', 5)}) AS g, generate_subscripts({_shingled('w', 5)}, 1) - 1 AS pos FROM d),
+s AS ({_grams(_WORDS, 5)}),
 v AS (SELECT DISTINCT doc_id, item_id, n_words, pos - o AS start FROM s JOIN ig USING (g) WHERE pos >= o AND pos - o + n_words <= m),
 mine AS (SELECT v.doc_id, item_id, v.start, n_words, s.g, count(*) AS x FROM v JOIN s ON s.doc_id = v.doc_id
          AND s.pos BETWEEN v.start AND v.start + greatest(n_words - 5, 0) GROUP BY ALL),
