@@ -43,7 +43,7 @@ BITS, HASHES = 10, 4
 MAX_BYTES = 512 << 20
 MU = 4.0
 #: N-grams that one slice of the counts holds, about.
-PER_SLICE = 2_000_000
+PER_SLICE = 500_000
 #: Tokens that a task counts before it hands them on, about.
 HELD = 1_200_000
 START, END = mix(np.array([0x5354415254], U64))[0], mix(np.array([0x454E44], U64))[0]
