@@ -9,10 +9,11 @@ once for each level 1 to q. Scoring probes levels 1, 2, ... until one is
 missing; level q stands for the count 1.5 * 2**(q - 1), level 1 for 1.
 
 The filter is an array of 64-bit words, each n-gram level setting HASHES bits
-of one word, with BITS bits for each entry: about 3 percent of probes that
-should miss hit. Its size follows the corpus up to ``max_bytes``, the proven
-bound of the broadcast; beyond it every n-gram is still entered and the error
-rate grows, so larger corpora need a larger bound (a parameter). The smoothed
+of one word, with BITS bits for each entry whatever the corpus's size: about 3
+percent of probes that should miss hit. A filter of ``max_bytes`` at most is
+broadcast. A larger one stays in its hash slices: the distinct n-grams of each
+chunk of texts are sent to their slices by a shuffle and probed there, and the
+levels go back to the chunk. Both give the same levels. The smoothed
 probability of w after v is (count(v w) + MU * p(w)) / (count(v) + MU) with
 p(w) = (count(w) + 1) / (N + V + 1), all counts from the filter.
 
@@ -31,7 +32,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,8 +122,12 @@ class LogFilter:
         return out
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
-        q = self.levels(hashes)
-        return np.where(q < 2, q.astype(float), 1.5 * 2.0 ** (q - 1))
+        return _count(self.levels(hashes))
+
+
+def _count(q: np.ndarray) -> np.ndarray:
+    """The count that each level stands for."""
+    return np.where(q < 2, q.astype(float), 1.5 * 2.0 ** (q - 1))
 
 
 def _counted(train: DataFrame, slices: int) -> DataFrame:
@@ -169,29 +175,29 @@ def _counted(train: DataFrame, slices: int) -> DataFrame:
     return parts.groupBy("kind", "slice").applyInArrow(merge, "kind int, slice int, n long, total long, entries long, blob binary")
 
 
-def _filter(counts: DataFrame, slices: int, max_bytes: int) -> LogFilter:
-    """Build each slice's words in a task of its own; the driver joins them, ``max_bytes`` at most."""
-    known = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("entries").alias("entries")).collect()
-    entries = sum(r.entries for r in known)
-    scale = min(1.0, max_bytes / max(1, entries * BITS / 8))
-    first = next((r for r in known if r.kind == 1), None)
+def _built(table: pa.Table) -> np.ndarray:
+    """The words of one slice's filter, from its rows of the counts; none without n-grams."""
+    each = [_unblob(b.as_py()) for b in table.column("blob")]
+    total = sum(table.column("entries").to_pylist())
+    words = np.zeros(max(1, int(total * BITS / 64)) if each else 0, U64)
+    for hashes, count in each:
+        q = np.frexp(count.astype(float))[1]
+        for level in range(1, int(q.max(initial=0)) + 1):
+            at, mask = _bits(hashes[q >= level], level, len(words))
+            np.bitwise_or.at(words, at, mask)
+    return words
+
 
+def _filter(counts: DataFrame, slices: int, n_tokens: int, n_words: int) -> LogFilter:
+    """Build each slice's words in a task of its own; the driver joins them."""
     def build(key, table):
-        each = [_unblob(b.as_py()) for b in table.column("blob")]
-        total = sum(table.column("entries").to_pylist())
-        words = np.zeros(max(1, int(total * BITS * scale / 64)), U64)
-        for hashes, count in each:
-            q = np.frexp(count.astype(float))[1]
-            for level in range(1, int(q.max(initial=0)) + 1):
-                at, mask = _bits(hashes[q >= level], level, len(words))
-                np.bitwise_or.at(words, at, mask)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "words": pa.array([words.astype("<u8").tobytes()], pa.binary())})
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "words": pa.array([_built(table).astype("<u8").tobytes()], pa.binary())})
 
     found = {r.slice: np.frombuffer(r.words, "<u8") for r in counts.select("slice", "entries", "blob").groupBy("slice").applyInArrow(
         build, "slice int, words binary").toLocalIterator()}
     size = [len(found.get(s, ())) for s in range(slices)]
     words = np.concatenate([found[s] for s in sorted(found)]) if found else np.zeros(0, "<u8")
-    return LogFilter(words.astype(U64, copy=False), np.concatenate([[0], np.cumsum(size)]), first.total if first else 0, first.n if first else 0)
+    return LogFilter(words.astype(U64, copy=False), np.concatenate([[0], np.cumsum(size)]), n_tokens, n_words)
 
 
 def _vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -213,14 +219,18 @@ def _log_probability(model: LogFilter, word: np.ndarray, doc: np.ndarray, pair:
     """The log10 probability of each text. Each distinct n-gram of the batch is probed once."""
     one, at_one = np.unique(word, return_inverse=True)
     two, at_two = np.unique(pair, return_inverse=True)
-    count = model.counts(one)[at_one]
-    opens = np.ones(len(word), bool)
+    return _smoothed(model.counts(one)[at_one], model.counts(two)[at_two], doc, n, model.n_tokens + model.n_words + 1)
+
+
+def _smoothed(count: np.ndarray, both: np.ndarray, doc: np.ndarray, n: int, denominator: int) -> np.ndarray:
+    """The log10 probability of each of ``n`` texts from the counts of its words and of the bigrams that end there."""
+    opens = np.ones(len(count), bool)
     opens[1:] = doc[1:] != doc[:-1]
-    history = np.empty(len(word))
+    history = np.empty(len(count))
     history[1:] = count[:-1]
-    history[opens] = model.counts(np.array([END]))[0]   # a text begins as often as one ends
-    alone = (count + 1) / (model.n_tokens + model.n_words + 1)
-    both = np.minimum(model.counts(two)[at_two], history)
+    history[opens] = count[-1:]   # a text begins as often as one ends, and the last word is an end token
+    alone = (count + 1) / denominator
+    both = np.minimum(both, history)
     return np.bincount(doc, np.log10((both + MU * alone) / (history + MU)), n)
 
 
@@ -236,9 +246,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(8, round(size / 8 / PER_SLICE))
     counts = stored(_counted(train, slices), "lm-counts")
-    model = _filter(counts, slices, max_bytes)
-    n, v = model.n_tokens, model.n_words
-    shared: Broadcast = spark.sparkContext.broadcast(model)
+    known = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("entries").alias("entries")).collect()
+    n, v = next(((r.total, r.n) for r in known if r.kind == 1), (0, 0))
+    fits = sum(r.entries for r in known) * BITS <= 8 * max_bytes
+    shared: Broadcast | None = spark.sparkContext.broadcast(_filter(counts, slices, n, v)) if fits else None
     local = spark.sparkContext.broadcast(_vocabulary(counts)) if 16 * v <= max_bytes else None
     denominator = np.log10(n + v + 1)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -249,7 +260,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for lo, hi in textnp.chunks(text := textnp.strings(batch.column("text"))):
                 m = hi - lo
                 word, doc, pair = tokens(text.slice(lo, m))
-                score, length = _log_probability(shared.value, word, doc, pair, m), np.bincount(doc, minlength=m)
+                score = _log_probability(shared.value, word, doc, pair, m) if shared is not None else np.zeros(m)
+                length = np.bincount(doc, minlength=m)
                 if local is not None:
                     one, at = np.unique(word, return_inverse=True)
                     c = _lookup(*local.value, one)[at]
@@ -260,14 +272,68 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     batch.column("doc_id").slice(lo, m), batch.column("held_out").slice(lo, m), pa.array(length, pa.int64()), pa.array(known.astype(np.int64)),
                     pa.array(np.full(m, n, np.int64)), pa.array(base - length * denominator), pa.array(score)], names=names)
 
-    if local is not None:
+    if local is not None and shared is not None:
         return rows.mapInArrow(run, kinds)
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     scored = stored(rows.mapInArrow(_with_row(run, names), f"row long, {kinds}"), "lm-scores")
-    known = _known_by_join(rows, counts, slices)
-    return scored.join(known, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", F.coalesce("known", F.lit(0).cast("long")).alias("n_known"), "train_tokens",
-        (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"), "score")
+    if local is None:
+        scored = scored.join(_known_by_join(rows, counts, slices), "row", "left").select(
+            "row", "doc_id", "held_out", "n_tokens", F.coalesce("known", F.lit(0).cast("long")).alias("n_known"), "train_tokens",
+            (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"), "score")
+    if shared is None:
+        scored = scored.drop("score").join(_scores_by_slice(rows, counts, slices, n + v + 1), "row")
+    return scored.select(names)
+
+
+def _scores_by_slice(rows: DataFrame, counts: DataFrame, slices: int, denominator: int) -> DataFrame:
+    """(row, score): as _log_probability, with the n-grams of each chunk of texts probed where their slice's filter is."""
+    def spread(batches):
+        task, done = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for lo, hi in textnp.chunks(text := textnp.strings(batch.column("text"))):
+                word, doc, pair = tokens(text.slice(lo, hi - lo))
+                one, at_one = np.unique(word, return_inverse=True)
+                two, at_two = np.unique(pair, return_inverse=True)
+                grams = np.concatenate([one, two])
+                part = (grams % U64(slices)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                rank = np.empty(len(order), "<i4")
+                rank[order] = np.arange(len(order))
+                # the chunk's own row: rows, words of each, places of each word and bigram in the n-grams by slice
+                row = batch.column("row").slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype("<i8")
+                own = b"".join(x.tobytes() for x in (np.array([hi - lo], "<i8"), row, np.bincount(doc, minlength=hi - lo).astype("<i8"),
+                                                     rank[at_one], rank[len(one) + at_two]))
+                first = np.flatnonzero(np.diff(part[order], prepend=-1))
+                edge = np.append(first, len(order)).astype(np.int32) * 8
+                asked = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edge.astype("<i4")), pa.py_buffer(grams[order].astype("<u8"))])
+                yield pa.record_batch([
+                    pa.array(np.full(len(first) + 1, task << 32 | done, np.int64)), pa.array(np.append(part[order][first], -1).astype(np.int32)),
+                    pa.concat_arrays([asked, pa.array([own], pa.binary())])], names=["chunk", "slice", "blob"])
+                done += 1
+
+    def probe(key, mine, asked):
+        words = _built(mine)
+        grams = np.frombuffer(b"".join(asked.column("blob").to_pylist()), "<u8").astype(U64, copy=False)
+        levels = LogFilter(words, np.array([0, len(words)]), 0, 0).levels(grams).astype(np.uint8)
+        edge = np.append(0, np.cumsum(pc.binary_length(asked.column("blob")).to_numpy() // 8)).astype("<i4")
+        found = pa.Array.from_buffers(pa.binary(), asked.num_rows, [None, pa.py_buffer(edge), pa.py_buffer(levels)])
+        return pa.table({"chunk": asked.column("chunk"), "slice": asked.column("slice"), "levels": found})
+
+    def finish(key, own, answers):
+        data = own.column("blob")[0].as_py()
+        m = int(np.frombuffer(data, "<i8", 1)[0])
+        row, length = np.frombuffer(data, "<i8", 2 * m, 8).reshape(2, m)
+        at = np.frombuffer(data, "<i4", -1, 8 + 16 * m).reshape(2, -1)
+        count = _count(np.frombuffer(b"".join(answers.sort_by("slice").column("levels").to_pylist()), np.uint8).astype(np.int64))
+        score = _smoothed(count[at[0]], count[at[1]], np.repeat(np.arange(m), length), m, denominator)
+        return pa.table({"row": pa.array(row), "score": pa.array(score)})
+
+    sent = stored(rows.select("row", "text").mapInArrow(spread, "chunk long, slice int, blob binary"), "lm-probes")
+    probes = sent.where("slice >= 0")
+    filters = counts.select("slice", "entries", "blob")
+    answers = stored(filters.groupBy("slice").cogroup(probes.groupBy("slice")).applyInArrow(probe, "chunk long, slice int, levels binary"), "lm-levels")
+    own = sent.where("slice < 0")
+    return own.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, "row long, score double")
 
 
 def _with_row(run, names):

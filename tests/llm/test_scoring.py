@@ -32,6 +32,15 @@ def test_base_score(docs, limit):
     assert [g[5] for g in got] == pytest.approx([w[5] for w in want])
 
 
+@pytest.mark.parametrize("limit", [4_000, 40_000])
+def test_scores_do_not_depend_on_the_bound(docs, limit):
+    """A filter beyond the broadcast's bound keeps its bits for each entry: probed by slice, it gives the same scores."""
+    whole, parted = ([(str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.score) for r in bloom_lm.score_documents(docs, max_bytes=m).collect()]
+                     for m in (bloom_lm.MAX_BYTES, limit))
+    assert sorted(x[:5] for x in parted) == sorted(x[:5] for x in whole)
+    assert [x[5] for x in sorted(parted)] == pytest.approx([x[5] for x in sorted(whole)], rel=1e-12)
+
+
 def test_empty_tables(no_docs, spark):
     assert bloom_lm.score_documents(no_docs).collect() == []
     only = spark.createDataFrame([(d, "some words") for d in range(60) if held(d)], "doc_id long, text string")
