@@ -8,7 +8,9 @@ within the radius. Pairs that it finds further apart go. The rest is verified
 exactly: the multiset Jaccard similarity of the 5-word shingles, each weighted
 by how often it occurs (sum of least over sum of greatest counts), must reach
 ``percent``. Windows are laid around anchors (see native): where the document
-and the item of some length share a shingle, at the item's offset.
+and the item of some length share a shingle, at the item's offset;
+where that sticks out of the text (an item cut off by the text's beginning or
+end), at the text's first or last place. Texts shorter than an item have none.
 
 At similarity 0.8 a 15-word window differs in one word of 15 at most (11
 shingles), which turns 7.5 of 64 bits on average (standard deviation 2.6); 15
@@ -56,7 +58,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = stored(benchmark_items(benchmark, k), "decon-items")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     places = items.select("n_words", F.posexplode("item_shingles").alias("offset", "g")).distinct()
-    windows = anchors(keyed.withColumn("words", word_array(F.col("text"))).drop("text"), places, k).select("doc_id", "text_hash", (F.col("pos") - F.col("offset")).alias("start"), "n_words").where("start >= 0")
+    split = keyed.withColumn("words", word_array(F.col("text"))).drop("text").withColumn("m", F.size("words"))
+    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("m") - F.col("n_words")))
+    windows = anchors(split, places, k).where("n_words <= m").select("doc_id", "text_hash", start.alias("start"), "n_words")
     windows = stored(windows.distinct().groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n_words")).alias("windows")), "decon-windows")
 
     same = (keyed["text_hash"] == windows["text_hash"]) & keyed["doc_id"].eqNullSafe(windows["doc_id"])

@@ -3,8 +3,8 @@
 An anchor is a place where a document has a shingle that some reference text
 (benchmark item, licence template) has too. A window at a similarity or
 containment above zero holds an anchor, so looking only at windows around
-anchors loses nothing, and documents without one are done after one pass that
-shuffles nothing.
+anchors loses nothing (windows that stick out of the text are moved into it),
+and documents without one are done after one pass that shuffles nothing.
 """
 
 from __future__ import annotations

@@ -57,6 +57,20 @@ def test_leaks_equal_brute_force(tables):
     assert {(100, 2), (101, 2), (103, 2), (None, 2), (54, 5), (104, 5)} <= found and not {d for d, _ in found} & {102, 50, 51}
 
 
+def test_items_cut_off_by_the_edges_of_a_text(spark):
+    """The first or last words of an item lie outside the text: the window at the text's edge is similar enough."""
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in (13, 30, 58)]
+    data = []
+    for n, text in items:
+        w, more = text.split(), [f"more{i}" for i in range(70)]
+        for d in (1, 3, 6):
+            data += [(1000 * n + d, " ".join(w[d:] + more)), (1000 * n + 100 + d, " ".join(more + w[:-d])), (1000 * n + 200 + d, " ".join(w[d:]))]
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(data, "doc_id long, text string"),
+                                                          spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == brute_leaks(data, items)
+    assert {(58_006, 58), (58_106, 58), (13_001, 13), (13_101, 13)} <= found and not {d for d, _ in found} & {13_003, 13_103, 58_206}
+
+
 def test_without_leaks_keeps_clean_rows(tables):
     docs, items = tables
     left = decontam.without_leaks(docs, items)
