@@ -71,6 +71,19 @@ def test_items_cut_off_by_the_edges_of_a_text(spark):
     assert {(58_006, 58), (58_106, 58), (13_001, 13), (13_101, 13)} <= found and not {d for d, _ in found} & {13_003, 13_103, 58_206}
 
 
+def test_similar_windows_beyond_the_radius(spark):
+    """Items whose last words are changed, as many as the threshold allows, with fingerprints further apart than RADIUS."""
+    items, data = [], []
+    for n, seed in ((15, 103), (15, 702), (40, 34), (40, 57), (59, 47), (59, 61), (200, 90), (200, 195)):
+        w, c = [f"w{seed}x{i}" for i in range(n)], (n - 4) // 9
+        items.append((seed, " ".join(w)))
+        data.append((seed, " ".join(["before", *w[:-c], *[f"n{seed}x{i}" for i in range(n - c, n - c + c)], "after"])))
+        data.append((1000 + seed, " ".join(["before", *w[:-c], *[f"n{seed}x{i}" for i in range(c)], "after"])))
+    found = decontam.leaks(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == brute_leaks(data, items) == {(d, d % 1000) for d, _ in data}
+    assert all(r.distance > decontam.RADIUS for r in found if r.doc_id >= 1000)
+
+
 def test_without_leaks_keeps_clean_rows(tables):
     docs, items = tables
     left = decontam.without_leaks(docs, items)
