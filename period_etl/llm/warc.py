@@ -3,6 +3,8 @@
 Response records are rows (record_id, target_uri, date, http_headers, body).
 A metadata record (content type application/warc-fields) holds the source's
 HTTP status, media type, character set, payload length and payload digest, the
+source's status line and each of its header lines (fields source-status-line
+and source-header, in order, repeated ones too, folded ones as one line), the
 title, the language and the links of the page. A conversion record
 (text/plain) holds the page's visible text. Both name the response in
 WARC-Refers-To, keep its target URI and its date, and carry the digest of
@@ -57,10 +59,16 @@ def visible_text(page: str) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def header_lines(headers: str | None) -> list[str]:
+    """A response's header lines in order, with their continuation lines; no empty lines, no line ends."""
+    whole = re.sub(r"(?:\r\n|\r|\n)[ \t]+(?=[^\s])", " ", headers or "")
+    return [line.strip() for line in re.split(r"\r\n|\r|\n", whole) if line.strip()]
+
+
 def http_fields(headers: str | None) -> tuple[str, str, str]:
     """(status, media type, character set) of a response's header lines; empty where missing."""
-    lines = (headers or "").replace("\r\n", "\n").split("\n")
-    status = m[1] if (m := re.match(r"HTTP/\S+\s+(\d+)", lines[0])) else ""
+    lines = header_lines(headers)
+    status = m[1] if lines and (m := re.match(r"HTTP/\S+\s+(\d+)", lines[0])) else ""
     kind = next((line.split(":", 1)[1].strip() for line in lines if line.lower().startswith("content-type:")), "")
     charset = m[1] if (m := re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", kind, re.I)) else ""
     return status, kind.split(";")[0].strip().lower(), charset.lower()
@@ -80,6 +88,7 @@ def derivatives(record_id: str | None, uri: str | None, date: str | None, header
     is_html = kind in ("", "text/html", "application/xhtml+xml")
     fields = [("http-status", status), ("source-content-type", kind), ("source-charset", charset), ("source-payload-length", str(len(data))),
               ("source-payload-digest", payload)]
+    fields += [("source-header" if i or not line.startswith("HTTP/") else "source-status-line", line) for i, line in enumerate(header_lines(headers))]
     if is_html:
         seen = page if "<!--" not in page else re.sub(r"<!--.*?(?:-->|\Z)", "", page, flags=re.S)
         fields += [("title", _one_line(html.unescape(m[1])) if (m := _TITLE.search(seen)) else ""), ("language", m[1] if (m := _LANGUAGE.search(seen)) else "")]

@@ -122,6 +122,18 @@ def test_records_link_to_their_response(spark):
     assert warc.build_derivatives(frame.limit(0)).collect() == []
 
 
+def test_metadata_keeps_all_source_headers(spark):
+    lines = ["Content-Type: text/html; charset=UTF-8", "Last-Modified: Mon, 01 Jan 2024 00:00:00 GMT", 'ETag: "a:b"', "Set-Cookie: a=1; Path=/", "Set-Cookie: b=2",
+             "Content-Language: en", "Location: https://a.example/?x=1:2", "Content-Length: 007", "no colon"]
+    head = "\r\n".join(["HTTP/1.1 404 Not  Here", *lines, "X-Folded: one", "\t two", " three", "", ""])
+    frame = spark.createDataFrame([("<urn:uuid:1>", "u", "d", head, body("<p>x</p>")), ("<urn:uuid:2>", "u", "d", "Server: s\nETag: e", ""),
+                                   ("<urn:uuid:3>", "u", "d", None, "")], RESPONSE)
+    got = {r.refers_to: r.block.split("\r\n") for r in warc.build_derivatives(frame).where("type = 'metadata'").collect()}
+    kept = {k: [f.split(": ", 1)[1] for f in v if f.startswith("source-header: ")] for k, v in got.items()}
+    assert kept == {"<urn:uuid:1>": [*lines, "X-Folded: one two three"], "<urn:uuid:2>": ["Server: s", "ETag: e"], "<urn:uuid:3>": []}
+    assert "source-status-line: HTTP/1.1 404 Not  Here" in got["<urn:uuid:1>"] and "http-status: 404" in got["<urn:uuid:1>"]
+
+
 def test_record_bytes_parse_back(spark):
     records = warc.build_derivatives(spark.createDataFrame(RESPONSES, RESPONSE))
     for r in warc.record_bytes(records).collect():
