@@ -5,6 +5,8 @@ An anchor is a place where a document has a shingle that some reference text
 containment above zero holds an anchor, so looking only at windows around
 anchors loses nothing (windows that stick out of the text are moved into it),
 and documents without one are done after one pass that shuffles nothing.
+A reference of fewer than k words is one shingle of its whole sequence: it
+matches only texts that consist of it, and is not found inside longer ones.
 """
 
 from __future__ import annotations
