@@ -22,13 +22,13 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from hashlib import sha256
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from period_etl.llm import textnp
 from period_etl.llm.common import ship
@@ -199,7 +199,24 @@ def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame
 
 
 def bpe_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256) of each row, by encoding and then decoding it."""
-    both = bpe_decode(bpe_encode(docs, path, id_col, text_col), path)
-    return both.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    """(id_col, n_tokens, ids_sha256, decoded_sha256) of each row, by encoding and then decoding it.
+
+    Both happen in one pass of one worker a core; neither ids nor decoded texts leave it.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    model = spark.sparkContext.broadcast(load(path))
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches):
+        for batch in batches:
+            text = textnp.strings(batch.column(1))
+            for lo, hi in textnp.chunks(text):
+                ids = model.value.encode(text.slice(lo, hi - lo).to_pylist())
+                yield pa.record_batch([
+                    batch.column(0).slice(lo, hi - lo), pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids], pa.string()),
+                    pa.array([sha256(model.value.decode(i).encode()).hexdigest() for i in ids], pa.string())], names=names)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

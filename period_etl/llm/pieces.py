@@ -18,8 +18,8 @@ from period_etl.llm.textnp import U64, _powers, mix
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Endings that form a piece with the apostrophe before them (fixed values).
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Distinct pieces that a worker remembers; about 40 bytes each.
-CACHE_PIECES = 2_000_000
+#: Bytes that a worker's memory of pieces may take before it starts anew.
+CACHE_BYTES = 32 << 20
 
 
 @cache
@@ -100,7 +100,7 @@ def cut(texts: list[str], attach_space: bool) -> tuple[str, np.ndarray, np.ndarr
 class PieceCache:
     """Ids of texts from the ids of their pieces; ``encode`` gives those of new pieces, one after the other, and their edges."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], attach_space: bool, limit: int = CACHE_PIECES):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], attach_space: bool, limit: int = CACHE_BYTES):
         self.encode, self.attach_space, self.limit = encode, attach_space, limit
         self.clear()
 
@@ -109,6 +109,11 @@ class PieceCache:
         self.tables = [(np.zeros(0, U64), np.zeros(0, np.int64))] * 2
         self.flat, self.used, self.at, self.count = np.zeros(1 << 16, np.uint32), 0, np.zeros(1 << 14, np.int64), 0
 
+    @property
+    def size(self) -> int:
+        """The bytes of all tables."""
+        return self.flat.nbytes + self.at.nbytes + sum(keys.nbytes + numbers.nbytes for keys, numbers in self.tables)
+
     @staticmethod
     def _room(array: np.ndarray, n: int) -> np.ndarray:
         return array if len(array) >= n else np.concatenate([array, np.zeros(max(n, 2 * len(array)) - len(array), array.dtype)])
@@ -137,7 +142,7 @@ class PieceCache:
         self.used, self.count = self.used + len(ids), self.count + n
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if self.count > self.limit:
+        if self.size > self.limit:
             self.clear()
         whole, begin, end, hashes, each = cut(texts, self.attach_space)
         distinct, where, piece = np.unique(hashes, return_index=True, return_inverse=True)

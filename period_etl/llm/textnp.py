@@ -43,13 +43,17 @@ _inv = np.ones(1, U64)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, n at least; those of longer texts than a chunk are not kept."""
     global _pow, _inv
-    if len(_pow) < n:
-        _pow, _inv = np.full(n, _P), np.full(n, _INV)
-        _pow[0] = _inv[0] = 1
-        np.multiply.accumulate(_pow, out=_pow)
-        np.multiply.accumulate(_inv, out=_inv)
-    return _pow, _inv
+    if len(_pow) >= n:
+        return _pow, _inv
+    up, down = np.full(n, _P), np.full(n, _INV)
+    up[0] = down[0] = 1
+    np.multiply.accumulate(up, out=up)
+    np.multiply.accumulate(down, out=down)
+    if n <= 2 * CHUNK_BYTES:
+        _pow, _inv = up, down
+    return up, down
 
 
 @dataclass
