@@ -14,8 +14,11 @@ from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
 from period_etl.llm.html_text import extract_pages
 from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notices
+from period_etl.llm.merkle import build, document_leaves, verify
 from period_etl.llm.near_dup import near_duplicates
+from period_etl.llm.packing import pack_documents
 from period_etl.llm.quality import fit_line_field, quality_rules
+from period_etl.llm.ranked import ranked_search
 from period_etl.llm.rans import read_token_files, write_token_files
 from period_etl.llm.warc import build_derivatives, page_responses
 from period_etl.session import scratch_dir
@@ -79,6 +82,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start", "n_words", "common", "whole")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = build(document_leaves(table(spark, sf_dir, "documents")), "lang", "doc_id", "leaf")
+    return verify(made, "claim").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def _grams(words: str, k: int) -> str:
     """SQL for (doc_id, m, pos, g): the k-word shingles of each document; ``words`` makes its m words from ``text``."""
     rest = "".join(f", lead(x, {i}) OVER o" for i in range(1, k))
@@ -136,6 +152,58 @@ SELECT doc_id, item_id, start, n_words, common, whole FROM u WHERE common * 100
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY common / whole DESC, start) = 1
 """
 
+def _leaf(more: int) -> str:
+    """The leaf of a document with ``more`` added to n_chars."""
+    fields = ("doc_id", "source", "lang", f"n_chars + {more}" if more else "n_chars", "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+#: CRC-32 of the decimal doc_id, one byte and then one bit at a time.
+_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), "
+        "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, i: xor(r >> 1, (r & 1) * 3988292384))))")
+_HEIGHT = "ceil(log2(count(*) OVER (PARTITION BY {}))) ::BIGINT"
+
+_OP11 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf(0)} AS leaf, CASE WHEN {_CRC} % 7 = 0 THEN {_leaf(1)} ELSE {_leaf(0)} END AS claim FROM documents),
+g AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT lang FROM d)),
+l AS (SELECT d.*, g, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS i, {_HEIGHT.format('g')} AS height
+      FROM d JOIN g ON d.lang IS NOT DISTINCT FROM g.lang),
+t AS (SELECT g, height, 0::BIGINT AS level, i, leaf AS h FROM l
+      UNION ALL SELECT g, height, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE level < height GROUP BY g, height, level, i // 2),
+s AS (SELECT g, h AS subroot, {_HEIGHT.format('1')} AS height FROM t WHERE level = height),
+u AS (SELECT height, 0::BIGINT AS level, g AS i, subroot AS h FROM s
+      UNION ALL SELECT height, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE level < height GROUP BY height, level, i // 2),
+n AS (SELECT g, level, i, h FROM t WHERE level < height UNION ALL SELECT -1, level, i, h FROM u WHERE level < height),
+steps AS (SELECT doc_id, leaf, l.g, i, level, g AS tree, (i >> level::INT) AS place, level AS step FROM l, unnest(range(height)) x(level)
+          UNION ALL SELECT doc_id, leaf, l.g, i, level, -1, (l.g >> level::INT), l.height + level FROM l JOIN s USING (g), unnest(range(s.height)) x(level)),
+p AS (SELECT steps.doc_id, steps.leaf, steps.g, steps.i, step, place, n.h AS other FROM steps
+      LEFT JOIN n ON n.g = tree AND n.level = steps.level AND n.i = xor(place, 1)),
+q AS (SELECT g, i, max(step) + 1 AS steps, coalesce(string_agg(other, '' ORDER BY step), '') AS proof FROM p GROUP BY g, i),
+f AS (SELECT g, i, 0::BIGINT AS step, claim AS h FROM l
+      UNION ALL SELECT f.g, f.i, f.step + 1, sha256(CASE WHEN other IS NULL THEN h WHEN place & 1 = 1 THEN other || h ELSE h || other END)
+      FROM f JOIN p ON p.g = f.g AND p.i = f.i AND p.step = f.step)
+SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM l JOIN s USING (g), (SELECT h AS root FROM u WHERE level = height) LEFT JOIN q ON q.g = l.g AND q.i = l.i
+JOIN f ON f.g = l.g AND f.i = l.i AND f.step = coalesce(q.steps, 0)
+"""
+
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+_OP13 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS ts FROM documents),
+a AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+x AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d),
+f AS (SELECT r, doc_id, n, t, count(*) AS tf FROM x GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, a GROUP BY t, n_docs),
+i AS (SELECT DISTINCT item_id, q, unnest(ts) AS t FROM (SELECT item_id, row_number() OVER () AS q, {_TERMS} AS ts FROM benchmark)),
+s AS (SELECT item_id, q, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // total)))))::BIGINT AS score
+      FROM i JOIN f USING (t) JOIN w USING (t), a GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_bloom_lm": op2_bloom_lm,
@@ -147,10 +215,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle": op11_merkle,
+    "op12_packing": op12_packing,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_near_duplicates": _OP5,
     "op9_licenses": _OP9,
     "op10_decontamination": _OP10,
+    "op11_merkle": _OP11,
+    "op13_ranked_search": _OP13,
 }

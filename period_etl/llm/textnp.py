@@ -107,8 +107,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
-def words(column: pa.Array, fold: bool = True) -> Words:
-    """Words of each text of a ``strings()`` array; ``fold`` lower-cases A-Z."""
+def words(column: pa.Array, fold: bool = True, apart: np.ndarray = _SPACE) -> Words:
+    """Words of each text of a ``strings()`` array; ``fold`` lower-cases A-Z, ``apart`` marks the bytes between words."""
     n = len(column)
     edge = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
     data = column.buffers()[2]
@@ -116,7 +116,7 @@ def words(column: pa.Array, fold: bool = True) -> Words:
     edge = edge - edge[0]
     buf = _FOLD[raw] if fold else raw
     inside = np.zeros(len(buf) + 1, bool)
-    inside[:-1] = ~_SPACE[buf]
+    inside[:-1] = ~apart[buf]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     closes = ~inside
