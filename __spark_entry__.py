@@ -38,9 +38,11 @@ from period_etl import (  # noqa: E402
     write_table,
 )
 from period_etl.functions import month_key_col, period_key_col  # noqa: E402
+from period_etl.operators.sinks import file_sizes  # noqa: E402
+from period_etl.plans.changed import read_ledger, run_changed  # noqa: E402
 from period_etl.session import scratch_dir, unique_name  # noqa: E402
 from period_etl.sources.landing import list_entry_names  # noqa: E402
-from period_etl.streaming import stream_landing  # noqa: E402
+from period_etl.streaming import process_batch, stream_landing  # noqa: E402
 from period_etl.testing import make_landing, shifted_period  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -180,7 +182,7 @@ def q15_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q16_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries from 1996 on have a further column, those of June store an integer column as double."""
+    """Entries from 1996 on have a further column, those of June store an integer column as double; asked to mix them."""
     root = f"{scratch_dir(spark, 'q16')}/landing"
     orders = scan_parquet(spark, _t(sf_dir, "orders"))
     named = orders.withColumn("p", shifted_period(F.col("o_orderdate")))
@@ -192,7 +194,7 @@ def q16_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
             if wide:
                 some = some.withColumn("o_custkey", F.col("o_custkey").cast("double"))
             some.withColumn("entry", F.concat(F.lit("orders_"), "p")).drop("p").write.mode("append").partitionBy("entry").parquet(root)
-    return clean_frame(spark, root, "o_orderdate").select(*orders.columns, "fee", "period")
+    return clean_frame(spark, root, "o_orderdate", inexact=True).select(*orders.columns, "fee", "period")
 
 
 def _emptied_month(spark: SparkSession, sf_dir: str, storage: Storage, base: str, land: str) -> DataFrame:
@@ -311,6 +313,81 @@ def q28_last_entry_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_frame(spark, land, "o_orderdate", on_duplicate="last")
 
 
+def q29_exact_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """June stores keys as 32-bit integers and prices with fewer digits, July small integers where others have decimals:
+    one scan with the types that hold them all."""
+    root = f"{scratch_dir(spark, 'q29')}/landing"
+    orders = scan_parquet(spark, _t(sf_dir, "orders")).withColumn("p", shifted_period(F.col("o_orderdate")))
+    month = F.substring("p", 6, 2)
+    for own, key, price, cents in ((month == "06", "int", "decimal(12,2)", "int"), (month == "07", "bigint", "decimal(14,2)", "smallint"),
+                                   (~month.isin("06", "07"), "bigint", "decimal(16,4)", "decimal(6,1)")):
+        some = orders.where(own).withColumns({
+            "o_custkey": F.col("o_custkey").cast(key), "o_totalprice": F.col("o_totalprice").cast(price),
+            "cents": (F.col("o_custkey") % 100).cast(cents), "entry": F.concat(F.lit("orders_"), "p")}).drop("p")
+        some.write.mode("append").partitionBy("entry").parquet(root)
+    clean = clean_frame(spark, root, "o_orderdate")
+    return clean.withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "cents": F.col("cents").cast("double")})
+
+
+def q30_replayed_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches, each done twice as after a failure between storing its rows and noting its epoch."""
+    base, land = _landing(spark, sf_dir, "q30")
+    storage = Storage(root=f"{base}/out")
+    names = list_entry_names(spark, land)
+    for epoch, some in enumerate((names[::2], names[1::2])):
+        for _ in range(2):
+            process_batch(clean_frame(spark, land, "o_orderdate", some), storage, "orders", "o_orderdate", epoch)
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q31_stream_partial_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each month arrives in three parts, a part a micro-batch; daily counts are kept by batch and merged by two."""
+    base = scratch_dir(spark, "q31")
+    storage = _tables(spark, base)
+    orders = scan_parquet(spark, _t(sf_dir, "orders"))
+    for part in range(3):
+        mine = orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == part)
+        make_landing(mine, "o_orderdate", f"{base}/arrived{part}", f"part{part}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path(f"{base}/landing"))
+        for name in list_entry_names(spark, f"{base}/arrived{part}"):
+            fs.rename(path(f"{base}/arrived{part}/{name}"), path(f"{base}/landing/{name}"))
+        query = stream_landing(spark, f"{base}/landing", orders.schema, "o_orderdate", storage, "orders", compact_every=2)
+        if not query.awaitTermination(900):
+            query.stop()
+            raise TimeoutError("landing stream did not finish within 900 s")
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+def q32_changed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, a rerun, a new delivery of March 1996 (that month's rows twice) and a run again: how often each month was
+    cleaned and what it holds."""
+    base, land = _landing(spark, sf_dir, "q32")
+    storage = Storage(root=f"{base}/out")
+    for _ in range(2):
+        run_changed(spark, land, "o_orderdate", storage, "orders")
+    march = scan_parquet(spark, f"{land}/entry=orders_1996-03")
+    march.write.parquet(f"{base}/again")
+    scan_parquet(spark, f"{base}/again").write.mode("append").parquet(f"{land}/entry=orders_1996-03")
+    run_changed(spark, land, "o_orderdate", storage, "orders")
+    done = read_ledger(spark, storage, "orders").groupBy("period").agg(F.count("*").alias("runs"))
+    held = read_stage(spark, storage, "orders", "analytics").groupBy("period").agg(F.sum("total_trips").alias("n_rows"))
+    return done.join(held, "period")
+
+
+def q33_byte_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of a month in files of 64 kB at most, give or take a tenth."""
+    base = scratch_dir(spark, "q33")
+    scan_parquet(spark, _t(sf_dir, "events")).coalesce(1).write.parquet(f"{base}/landing/events_2024-01")
+    storage = Storage(root=f"{base}/out", max_bytes_per_file=64_000)
+    clean_all(spark, f"{base}/landing", "ts", storage, "events")
+    sizes = file_sizes(spark, [storage.target("events", "clean")]).withColumn("path", F.url_decode("path"))
+    rows = read_stage(spark, storage, "events", "clean").groupBy(F.url_decode("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    return sizes.join(rows, "path").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("length") > 70_400).alias("files_over"),
+                                        (F.sum("length") < F.count("*") * 20_000).alias("needlessly_small"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -340,6 +417,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q26_mixed_entry_names": q26_mixed_entry_names,
     "q27_from_min": q27_from_min,
     "q28_last_entry_wins": q28_last_entry_wins,
+    "q29_exact_drift": q29_exact_drift,
+    "q30_replayed_epoch": q30_replayed_epoch,
+    "q31_stream_partial_counts": q31_stream_partial_counts,
+    "q32_changed_entries": q32_changed_entries,
+    "q33_byte_bounded_files": q33_byte_bounded_files,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -393,6 +475,14 @@ _ORACLE = {
     "q25_key_must_be_text": "SELECT count(*) AS source_rows, 2 AS refused FROM orders",
     "q26_mixed_entry_names": f"SELECT *, {_N} AS period FROM orders",
     "q27_from_min": _DAILY,
+    "q29_exact_drift": (
+        f"SELECT * REPLACE (round(o_totalprice, 2) AS o_totalprice), CAST(o_custkey % 100 AS DOUBLE) AS cents, {_M} AS period FROM orders WHERE {_M} = {_N}"),
+    "q30_replayed_epoch": _DAILY,
+    "q31_stream_partial_counts": _DAILY,
+    "q32_changed_entries": (
+        f"SELECT period, CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS runs, "
+        f"CAST(n_rows * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS BIGINT) AS n_rows FROM ({_LOADED})"),
+    "q33_byte_bounded_files": "SELECT count(*) AS n_rows, 0 AS files_over, false AS needlessly_small FROM events",
     "q28_last_entry_wins": f"{_Q04} AND ({_M} <> '1996-03' OR o_orderkey % 2 = 0)",
 }
 

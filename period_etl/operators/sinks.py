@@ -24,7 +24,7 @@ Spark splits skewed keys and merges small ones there.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from period_etl.fixed import PERIOD
-from period_etl.sources.parquet import delete_folder, partition_values
+from period_etl.sources.parquet import delete_folder, literal_path, partition_values
 from period_etl.sources.tables import sql_text
 
 MODES = ("append", "overwrite_partitions", "overwrite")
@@ -105,6 +105,31 @@ def _writer(df: DataFrame, key: str, mode: str, max_records_per_file: int | None
     return w.mode("overwrite").option("partitionOverwriteMode", "static")
 
 
+def file_sizes(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(path, length) of the files under some folders or tables' folders: a listing, no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal_path(p) for p in paths])
+    return files.select("path", "length")
+
+
+def rows_for_bytes(spark: SparkSession, paths: Iterable[str], max_bytes: int) -> int:
+    """K7 in bytes: rows that a file of ``max_bytes`` holds, by the bytes a row that Parquet files under ``paths`` take.
+
+    Lengths come from a listing and row counts from footers. The file with the
+    longest rows decides, of those with a tenth of the longest file's bytes at least
+    (a short file is mostly footer).
+    """
+    paths = list(paths)
+    sizes = file_sizes(spark, paths)
+    counts = spark.read.option("recursiveFileLookup", "true").parquet(*map(literal_path, paths)).groupBy(
+        F.url_decode(F.col("_metadata.file_path")).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    known = sizes.withColumn("path", F.url_decode("path")).join(counts, "path").where("rows > 0")
+    longest = known.agg(F.max("length")).first()[0]
+    if not longest:
+        return 0
+    per_row = known.where(F.col("length") * 10 >= longest).agg(F.max(F.col("length") / F.col("rows"))).first()[0]
+    return max(1, int(max_bytes / per_row))
+
+
 def write_partitioned(df: DataFrame, path: str, key: str = PERIOD,
                       mode: str = "append", *, drop_nulls: bool = False,
                       max_records_per_file: int | None = None,
@@ -139,7 +164,7 @@ def drop_keys(spark: SparkSession, path: str, key: str, values: Iterable[str]) -
 # --- catalog tables -------------------------------------------------------
 
 @contextmanager
-def _scoped_conf(spark: SparkSession, key: str, value: str):
+def scoped_conf(spark: SparkSession, key: str, value: str):
     """Set a SQL conf for one statement and put the old value back."""
     old = spark.conf.get(key, None)
     spark.conf.set(key, value)
@@ -152,6 +177,11 @@ def _scoped_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
+def _row_bound(spark: SparkSession, rows: int | None):
+    """K7 for one statement on a table. A writer option would be kept as a property of the table and rule later writes."""
+    return scoped_conf(spark, "spark.sql.files.maxRecordsPerFile", str(int(rows))) if rows else nullcontext()
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K8: create the database if missing (optionally at a shared location)."""
     loc = f" LOCATION {sql_text(location)}" if location else ""
@@ -197,10 +227,11 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
     report = WriteReport(table, True, obs)
     if not exists or mode == "append":
         # saveAsTable creates the table or appends to it, by column name.
-        w = _writer(clean, key, "append", max_records_per_file)
+        w = _writer(clean, key, "append", None)
         if folder and not exists:
             w = w.option("path", folder)
-        w.saveAsTable(table)
+        with _row_bound(spark, max_records_per_file):
+            w.saveAsTable(table)
         if not exists and not report.rows:
             spark.sql(f"DROP TABLE {table}")
             if folder:
@@ -212,11 +243,14 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
     for names, what in ((known - given, "missing from input"), (given - known, "not in the table")):
         if names:
             raise ValueError(f"columns {sorted(names)} {what}: {table}")
-    w = clean.select(*cols).write
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    # insertInto is positional (hence the select) and ignores a writer
-    # option for the overwrite mode, so the session setting is scoped.
-    with _scoped_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        w.insertInto(table, overwrite=True)
+    overwrite_table_partitions(clean, table, max_records_per_file)
     return report
+
+
+def overwrite_table_partitions(df: DataFrame, table: str, max_records_per_file: int | None = None) -> None:
+    """Replace the partitions of a table that the rows lie in, columns matched by name."""
+    spark = df.sparkSession
+    # insertInto is positional (hence the select) and ignores writer options
+    # (overwrite mode, rows of a file), so the session settings are scoped.
+    with scoped_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"), _row_bound(spark, max_records_per_file):
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)

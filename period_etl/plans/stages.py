@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from period_etl.fixed import ANALYTICS, CLEAN, DATE, PERIOD, TOTAL
 from period_etl.functions.periods import parse_period
+from period_etl.operators.batches import BATCH, live, summed
 from period_etl.operators.clean import filter_by_period
 from period_etl.operators.rollup import daily_counts
 from period_etl.operators.sinks import (
@@ -23,6 +24,9 @@ from period_etl.operators.sinks import (
     drop_keys,
     drop_table_keys,
     ensure_namespace,
+    file_sizes,
+    rows_for_bytes,
+    scoped_conf,
     table_exists,
     write_partitioned,
     write_table,
@@ -52,6 +56,8 @@ class Storage:
     ``location`` is the folder under which the tables keep their files, also
     in a namespace that exists already. ``rebalance`` adds one exchange by
     period before a write, for landing sets of many small files.
+    ``max_bytes_per_file`` bounds the files that ``clean_all`` writes in bytes
+    (``max_records_per_file`` bounds all files in rows).
     """
 
     root: str | None = None
@@ -59,6 +65,7 @@ class Storage:
     location: str | None = None
     max_records_per_file: int | None = None
     rebalance: bool = False
+    max_bytes_per_file: int | None = None
 
     def __post_init__(self):
         if (self.root is None) == (self.namespace is None):
@@ -98,6 +105,8 @@ def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
     periods that the rows don't have any more, so a rerun leaves what a first
     run would."""
     spark, target = df.sparkSession, storage.target(data_id, stage)
+    if stored_batches(spark, storage, data_id, stage):
+        raise ValueError(f"{target} is kept by micro-batch; a run can't write to it")
     limits = {"max_records_per_file": storage.max_records_per_file, "rebalance": storage.rebalance}
     if storage.tables:
         ensure_namespace(spark, storage.namespace, storage.location)
@@ -132,12 +141,36 @@ def stage_exists(spark: SparkSession, storage: Storage, data_id: str, stage: str
     return table_exists(spark, target)
 
 
+def stored_batches(spark: SparkSession, storage: Storage, data_id: str, stage: str) -> dict[str, list[str]]:
+    """The micro-batches of each period of a stage that a stream keeps; none for a stage that runs write. Names only."""
+    if storage.tables:
+        _attach_if_stored(spark, storage, data_id, stage)
+        target = storage.target(data_id, stage)
+        if not table_exists(spark, target) or BATCH not in spark.table(target).columns:
+            return {}
+        found: dict[str, list[str]] = {}
+        for r in spark.sql(f"SHOW PARTITIONS {target}").collect():
+            keys = dict(part.split("=", 1) for part in r.partition.split("/"))
+            found.setdefault(keys[KEY], []).append(keys[BATCH])
+        return found
+    target = storage.target(data_id, stage)
+    found = {}
+    for i, (period, folder) in enumerate(sorted((partition_values(spark, target, KEY) or {}).items())):
+        batches = sorted(partition_values(spark, f"{target}/{folder}", BATCH) or {})
+        if not batches and not i:   # one layout for all periods
+            return {}
+        found[period] = batches
+    return found
+
+
 def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
                periods: str | Sequence[str] | None = None) -> DataFrame:
     """S3 / S4: a stage's rows, pruned to the given periods.
 
     Analytics rows come back as ``(date, period, total_trips)``, the order
-    they were computed in (a partitioned read puts the key last).
+    they were computed in (a partitioned read puts the key last). What a
+    stream keeps by micro-batch comes back whole: clean rows without their
+    batch, daily counts summed.
     """
     target = storage.target(data_id, stage)
     if storage.tables:
@@ -145,6 +178,9 @@ def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
         df = key_filter(spark.table(target), KEY, periods)
     else:
         df = read_partitioned(spark, target, KEY, periods)
+    if BATCH in df.columns and (batches := stored_batches(spark, storage, data_id, stage)):
+        df = live(df, batches)
+        df = summed(df) if stage == ANALYTICS else df.drop(BATCH)
     if stage == ANALYTICS and set(df.columns) == {DATE, KEY, TOTAL}:
         df = df.select(DATE, KEY, TOTAL)
     return df
@@ -161,10 +197,11 @@ def clean_period(spark: SparkSession, path: str, period: str, ts_col: str,
 
 def clean_frame(spark: SparkSession, landing_root: str, ts_col: str,
                 entries: Sequence[str] | None = None,
-                on_duplicate: str = "error", **options: str) -> DataFrame:
+                on_duplicate: str = "error", inexact: bool = False, **options: str) -> DataFrame:
     """L2 as a frame: every landing entry, cleaned against its own period;
-    ``options`` go to the Parquet reader."""
-    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate, **options)
+    ``options`` go to the Parquet reader. ``inexact`` lets numbers that have no
+    exact common type in all entries be rounded (else they raise)."""
+    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate, inexact, **options)
 
 
 def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,
@@ -180,7 +217,43 @@ def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Stor
              storage.target(data_id, CLEAN), mode)
     df = clean_frame(spark, landing_root, ts_col, names, "error", **options)
     periods = sorted(e.period for e in chosen)
-    return periods, write_stage(df, storage, data_id, CLEAN, mode, periods)
+    if not storage.max_bytes_per_file:
+        return periods, write_stage(df, storage, data_id, CLEAN, mode, periods)
+    return periods, _write_bounded(df, storage, data_id, mode, periods, [e.path for e in chosen])
+
+
+def _write_bounded(df: DataFrame, storage: Storage, data_id: str, mode: str, periods: list[str], sources: list[str]) -> WriteReport:
+    """K7 in bytes: files of ``max_bytes_per_file`` at most, give or take a tenth.
+
+    The landing files' own bytes a row say how many rows a file may have, and
+    the bound how much an exchange that rebalances gives to a task. What was
+    written is then measured: if its rows turn out longer, ``overwrite_partitions``
+    writes the periods again with that many fewer; ``append`` can't, and warns.
+    """
+    spark, bound = df.sparkSession, storage.max_bytes_per_file
+    rows, before = rows_for_bytes(spark, sources, bound), None
+    while True:
+        rows = min(r for r in (rows or None, storage.max_records_per_file) if r) if rows or storage.max_records_per_file else None
+        with scoped_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(bound)):
+            report = write_stage(df, replace(storage, max_records_per_file=rows), data_id, CLEAN, mode, periods)
+        folders = _period_folders(spark, storage, data_id, report.keys) if report.written else []
+        most = file_sizes(spark, folders).agg(F.max("length")).first()[0] if folders else 0
+        if not rows or rows == 1 or (most or 0) <= 1.1 * bound:
+            return report
+        if mode != "overwrite_partitions" or (before is not None and most >= before):
+            log.warning("clean: a file of %d bytes is over the bound of %d", most, bound)
+            return report
+        rows, before = max(1, min(rows - 1, int(rows * bound / most))), most
+
+
+def _period_folders(spark: SparkSession, storage: Storage, data_id: str, periods: Iterable[str]) -> list[str]:
+    """Where the given periods of the clean stage keep their files."""
+    folder = storage.target(data_id, CLEAN)
+    if storage.tables:
+        folder = storage.table_folder(data_id, CLEAN) or spark.sql(
+            f"DESCRIBE TABLE EXTENDED {folder}").where("col_name = 'Location'").first()["data_type"]
+    stored = partition_values(spark, folder, KEY) or {}
+    return [f"{folder}/{stored[p]}" for p in periods if p in stored]
 
 
 # --- analytics ------------------------------------------------------------

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructType
+from pyspark.sql.types import StructField, StructType
 
 from period_etl.fixed import PERIOD
 from period_etl.functions.periods import (
@@ -37,6 +37,7 @@ from period_etl.functions.periods import (
     strip_scheme,
 )
 from period_etl.sources.parquet import literal_path
+from period_etl.sources.schemas import entry_types, footer_columns, merge_failed, resolve
 
 _FILE_PATH = "__period_etl_file_path"
 
@@ -131,56 +132,46 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     return df.withColumn(PERIOD, period).drop(file_path_col)
 
 
-def _wider(spark: SparkSession, a: LandingEntry, x: DataType, b: LandingEntry, y: DataType, name: str) -> DataType:
-    """The type that holds a column's values of both entries; only numbers widen."""
-    if x == y:
-        return x
-    if isinstance(x, NumericType) and isinstance(y, NumericType):
-        both = spark.range(0).select(F.coalesce(F.lit(None).cast(x), F.lit(None).cast(y)).alias("v"))
-        return both.schema["v"].dataType
-    raise ValueError(f"column {name!r} is {x.simpleString()} in {a.name!r} and {y.simpleString()} in {b.name!r}")
-
-
-def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dict) -> DataFrame:
+def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dict, inexact: bool) -> DataFrame:
     """All entries with the columns of all of them, a missing column as null, and each row's file path.
 
-    The footers decide (one Spark job, no data read). Entries that agree or
-    only lack columns are one scan. If a column's type differs, the entries
-    are scanned once for each distinct schema, numbers are widened, and the
-    scans are joined by name; other differences raise ``ValueError``.
+    The footers decide (one Spark job, no data read). Entries that agree, or
+    only lack columns, are one scan. So are entries whose types can be widened
+    without changing a value (see ``schemas``): a query over the footers finds the widened
+    types and the scan reads with them. Other differences raise ``ValueError``
+    with the names of two entries; ``inexact`` lets mixed numbers take Spark's
+    common type instead, which may round, with one scan for each mixture.
     """
     def scan(some, schema=None):
         reader = spark.read.options(**options)
         reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", options.get("mergeSchema", "true"))
-        return reader.parquet(*[literal_path(e.path) for e in some])
-
-    def tagged(df):
         # Take only file_path out of _metadata right at the scan.
-        return df.select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+        return reader.parquet(*[literal_path(e.path) for e in some]).select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
 
     try:
-        return tagged(scan(entries))
+        return scan(entries)
     except Exception as exc:
-        if "MERGE" not in str(exc).upper():
+        if not merge_failed(exc):
             raise
-    kinds: dict[str, tuple[LandingEntry, DataType]] = {}
+    columns = footer_columns(spark, [qualify(spark, e.path) for e in entries])
+    schema, loose = resolve(columns, [e.name for e in entries], inexact)
+    if not loose:
+        return scan(entries, schema)
+    own = entry_types(columns, list(loose))
     groups: dict[str, tuple[StructType, list[LandingEntry]]] = {}
-    for entry in entries:
-        schema = scan([entry]).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(entry)
-        for f in schema:
-            first, kind = kinds.get(f.name, (entry, f.dataType))
-            kinds[f.name] = first, _wider(spark, first, kind, entry, f.dataType, f.name)
+    for i, entry in enumerate(entries):
+        kinds = own.get(i, {})
+        mine = StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in schema])
+        groups.setdefault(mine.json(), (mine, []))[1].append(entry)
     out = None
-    for schema, some in groups.values():
-        df = tagged(scan(some, schema))
-        df = df.select(*[F.col(f"`{f.name}`").cast(kinds[f.name][1]).alias(f.name) for f in schema], _FILE_PATH)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out.select(*[f"`{name}`" for name in kinds], _FILE_PATH)
+    for mine, some in groups.values():
+        df = scan(some, mine).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema], _FILE_PATH)
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
-          on_duplicate: str, options: dict) -> tuple[DataFrame, Column, bool]:
+          on_duplicate: str, options: dict, inexact: bool) -> tuple[DataFrame, Column, bool]:
     """One scan of the chosen entries plus the per-row period expression.
 
     When every entry name has its period at the same place (the usual
@@ -190,7 +181,7 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
     """
     root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
-    df = _read_entries(spark, chosen, options)
+    df = _read_entries(spark, chosen, options, inexact)
     fp = F.col(_FILE_PATH)
     offset = shared_period_offset((e.name, e.period) for e in chosen)
     if offset is not None:
@@ -202,16 +193,16 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
 
 def read_landing(spark: SparkSession, root: str,
                  entries: Sequence[str] | None = None,
-                 on_duplicate: str = "error",
+                 on_duplicate: str = "error", inexact: bool = False,
                  **options: str) -> DataFrame:
     """S2: every landing entry in one scan, plus a ``period`` string column."""
-    df, period, _ = _scan(spark, root, entries, on_duplicate, options)
+    df, period, _ = _scan(spark, root, entries, on_duplicate, options, inexact)
     return df.withColumn(PERIOD, period).drop(_FILE_PATH)
 
 
 def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
                        entries: Sequence[str] | None = None,
-                       on_duplicate: str = "error",
+                       on_duplicate: str = "error", inexact: bool = False,
                        **options: str) -> DataFrame:
     """S2 + L2 fused: the landing rows that lie in their own entry's month.
 
@@ -220,7 +211,7 @@ def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
     its own ``YYYY-MM`` (equal to its entry's by the test); on the
     fixed-position path the substring is cheap enough to take twice.
     """
-    df, period, fixed_position = _scan(spark, root, entries, on_duplicate, options)
+    df, period, fixed_position = _scan(spark, root, entries, on_duplicate, options, inexact)
     ts = F.col(ts_col)
     own = month_key_col(ts) == period_key_col(period)
     out = period if fixed_position else month_text_col(ts)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from period_etl.fixed import PERIOD
+from period_etl.sources.schemas import footer_columns, merge_failed, resolve
 
 
 def scan_parquet(spark: SparkSession, path: str, *more: str,
@@ -90,6 +91,22 @@ def _string_key(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def _merged_scan(spark: SparkSession, paths: list[str], options: dict, key: str) -> DataFrame:
+    """A scan with the schemas of all footers merged; types that differ are widened where that is exact."""
+    try:
+        return scan_parquet(spark, *paths, **options)
+    except Exception as exc:
+        if not merge_failed(exc):
+            raise
+    base = options.get("basePath", paths[0])
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = footer_columns(spark, [hpath(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hpath(p)).toString() for p in paths])
+    schema, _ = resolve(found, paths)
+    if key not in schema.names and base not in paths:
+        schema = StructType(schema.fields).add(key, "string")
+    return scan_parquet(spark, *paths, schema=schema, **options)
+
+
 def read_partitioned(spark: SparkSession, path: str, key: str = PERIOD,
                      periods: str | Iterable[str] | None = None,
                      schema: StructType | None = None, **options: str) -> DataFrame:
@@ -102,24 +119,30 @@ def read_partitioned(spark: SparkSession, path: str, key: str = PERIOD,
     number is read back as a string, the only legal key type. Periods may
     have been stored with different columns: their schemas are merged from
     the footers (``mergeSchema="false"`` in ``options`` trusts one footer), a
-    missing column reads as null.
+    missing column reads as null, and types that differ are widened where that
+    changes no value.
     """
     wanted = _as_list(periods)
     if schema is None:
         options = {"mergeSchema": "true", **options}
+
+    def scan(*paths: str, **more: str) -> DataFrame:
+        if schema is None:
+            return _merged_scan(spark, list(paths), {**options, **more}, key)
+        return scan_parquet(spark, *paths, schema=schema, **options, **more)
+
     if wanted is None:
-        return _string_key(scan_parquet(spark, path, schema=schema, **options), key)
+        return _string_key(scan(path), key)
     folders = partition_values(spark, path, key)
     if folders:
         hits = [folders[v] for v in dict.fromkeys(wanted) if v in folders]
         if hits:
             base = path.rstrip("/")
-            df = scan_parquet(spark, *[f"{base}/{h}" for h in hits],
-                              schema=schema, basePath=base, **options)
+            df = scan(*[f"{base}/{h}" for h in hits], basePath=base)
             return key_filter(_string_key(df, key), key, wanted)
     # Nothing to narrow to (or not listable): the pruned scan of the whole
     # dataset gives the same rows, an empty frame when none match.
-    return key_filter(_string_key(scan_parquet(spark, path, schema=schema, **options), key), key, wanted)
+    return key_filter(_string_key(scan(path), key), key, wanted)
 
 
 def stored_values(spark: SparkSession, path: str, key: str = PERIOD) -> list[str] | None:

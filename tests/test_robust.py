@@ -44,7 +44,9 @@ def test_new_column_in_a_later_entry_is_one_scan(spark, scratch, trips):
 def test_type_drift_is_one_scan_for_each_schema(spark, scratch, trips):
     month(trips, 1).write.parquet(f"{scratch}/land/t_2025-01.parquet")
     month(trips, 2, id=F.col("id").cast("double")).write.parquet(f"{scratch}/land/t_2025-02.parquet")
-    df = clean_frame(spark, f"{scratch}/land", "ts")
+    with pytest.raises(ValueError, match="id.*bigint.*t_2025-01.*double.*t_2025-02"):   # above 2**53 doubles skip integers
+        clean_frame(spark, f"{scratch}/land", "ts")
+    df = clean_frame(spark, f"{scratch}/land", "ts", inexact=True)
     assert dict(df.dtypes)["id"] == "double" and {r.id for r in df.collect()} == {1.0, 2.0, 7.0, 3.0}
     assert plan(df).count("FileScan") == 2 and "Exchange" not in plan(df)
 
