@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from period_etl.llm import textnp
-from period_etl.llm.common import ship, stored
+from period_etl.llm.common import parts, ship, stored
 from period_etl.llm.textnp import U64
 
 #: Postings of one segment, about, and documents of one at most.
 SEGMENT, SEGMENT_DOCS = 1 << 19, 1 << 14
+#: Documents that one searching task reads, about.
+PER_TASK = 1 << 16
 #: Intervals that one round splits at most.
 ROUND = 256
 #: Text of one block of queries, about.
@@ -215,7 +217,8 @@ def _block(spark: SparkSession, docs: DataFrame, queries: list[tuple[int, np.nda
             if len(key):
                 yield pa.record_batch([pa.array(np.full(len(key), q)), pa.array(key, mask=~real), pa.array(score)], names=["q", "doc_id", "score"])
 
-    return scanned.mapInArrow(run, "q long, doc_id long, score long")
+    # a task's share stays the same however small the stored rows are: their files hold more documents than those of the texts
+    return scanned.repartition(parts(spark, n_docs // PER_TASK)).mapInArrow(run, "q long, doc_id long, score long")
 
 
 def ranked_search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
