@@ -1,15 +1,18 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly, copies of a text stay together.
 
-Rows with equal text form a group; a group with more bytes than a PIECES-th of
-a shard's share, or more rows than a whole share, is cut into pieces by the
-hash of its ids. Pieces are dealt by
-hash to packing partitions. In each, largest first, a piece goes to that of
-the partition's ``shards`` bins where the dot product of its (bytes, tokens,
-rows) with the bin's residual capacity is highest, each dimension measured in
-the bin's capacity (an even part of the partition's total) and weighted. Then the bins of
-all partitions, whose number is bounded by partitions and shards, are placed
-in the final shards by the same rule. No partition needs more memory than its
-bins. The law that holds is ``bytes``: shard sizes are near equal.
+Rows with equal text form a group. A group stays whole unless it has more
+bytes or rows than a shard's whole share; then it is cut into pieces by the
+hash of its rows. Groups and pieces are packed in rounds. They are dealt by hash to
+lots of about ``PER_LOT``, and in each lot, largest first, one goes to that of
+the lot's bins (``FINE`` times the shards) where the dot product of its (bytes, tokens, rows)
+with the bin's residual capacity is highest, each dimension measured in the
+bin's capacity (an even part of the lot's total) and weighted. The next round
+packs the bins of all lots in the same way, and the last one has a single lot
+whose bins are the shards. Whole groups above a ``LARGE``-th of a share, fewer than
+``LARGE`` times the shards by either measure, wait for that last round, where they are
+large beside the bins. No task needs more memory than its lot's bins, and no
+bin passes through the driver. The law that holds is ``bytes``: shard sizes
+are near equal.
 
 Rows: the size is the text's UTF-8 bytes plus 16; a null text has none, and is
 a group of its own, apart from the empty text. Repeated rows each get a slot. The
@@ -22,32 +25,87 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from period_etl.llm.common import ordered, ship, stored
 
-#: A piece of a group has at most about this part of a shard's share.
-PIECES = 16
-#: Pieces that one packing partition places, about.
-PER_PARTITION = 20_000
+#: Groups above this part of a shard's share wait for the last round; pieces of cut ones are about this part.
+LARGE = 16
+#: Groups, pieces or bins that one task packs, about.
+PER_LOT = 20_000
+#: Bins of a lot for each shard in all rounds but the last, so that the last one places small ones.
+FINE = 8
 _DIMENSIONS = ("bytes", "tokens", "rows")
 #: The dimensions' weights in the dot product: bytes first, as their law must hold.
 _WEIGHT = np.array([8.0, 1.0, 1.0])
 
 
-def place(items: np.ndarray, shards: int, capacity: np.ndarray) -> np.ndarray:
-    """The bin of each item (rows: bytes, tokens, rows) in the given order: the highest dot product with what is left of the capacity."""
-    scale = np.maximum(capacity, 1e-9)
-    left = np.ones((shards, items.shape[1]))
-    out = np.zeros(len(items), np.int32)
-    for i, item in enumerate(items / scale):
-        out[i] = b = int(np.argmax(left @ (item * _WEIGHT)))
-        left[b] -= item
-    return out
+class Bins:
+    """Bins of equal capacity: each item goes where the dot product with what is left is highest, the first of equal ones."""
 
+    def __init__(self, bins: int, total: np.ndarray):
+        self.left = np.ones((bins, len(total)))
+        self.scale = np.maximum(total / bins, 1e-9)
 
-def _seats(docs: DataFrame, shards: int, id_col: str, text_col: str) -> DataFrame:
+    def place(self, item: np.ndarray) -> int:
+        size = item / self.scale
+        at = int(np.argmax(self.left @ (size * _WEIGHT)))
+        self.left[at] -= size
+        return at
+
+
+def _packed(items: DataFrame, keys: list[str], shards: int) -> DataFrame:
+    """``keys``, ``lot`` and ``bin`` of each of the items (keys, lot, bytes, tokens, rows), lot by lot."""
+    names = [*keys, "lot", *_DIMENSIONS]
+
+    def run(batches):
+        now, bins = None, None
+        for batch in batches:
+            lots = batch.column("lot").to_pylist()
+            load, total = (np.stack([batch.column(p + d).to_numpy() for d in _DIMENSIONS], 1).astype(float) for p in ("", "all_"))
+            out = np.zeros(len(lots), np.int32)
+            for i, lot in enumerate(lots):
+                if lot != now:
+                    now, bins = lot, Bins(shards, total[i])
+                out[i] = bins.place(load[i])
+            yield pa.record_batch([*(batch.column(c) for c in names), pa.array(out)], names=[*names, "bin"])
+
+    lot = Window.partitionBy("lot")   # about PER_LOT rows
+    whole = items.withColumns({f"all_{d}": F.sum(d).over(lot) for d in _DIMENSIONS})
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.select(names).schema.fields)
+    return whole.sortWithinPartitions("lot", F.desc("bytes"), F.desc("tokens"), *keys).select(*names, *(f"all_{d}" for d in _DIMENSIONS)).mapInArrow(run, f"{kinds}, bin int")
+
+
+def _sums() -> list:
+    return [F.sum(d).alias(d) for d in _DIMENSIONS]
+
+
+def _assigned(pieces: DataFrame, large: DataFrame, count: int, shards: int, per_lot: int) -> DataFrame:
+    """(t1, t2, piece, shard) for the pieces and the large groups (t1, t2, piece, bytes, tokens, rows); ``count`` bounds the pieces' number."""
+    keys, bins = ["t1", "t2", "piece"], FINE * shards
+    per_lot = max(per_lot, 4 * bins)   # a round leaves a quarter at most
+    lots, rounds, items, ids = -(-count // per_lot), [], pieces, keys
+    while lots > 1:
+        dealt = items.withColumn("lot", F.pmod(F.xxhash64(*ids), F.lit(lots)).cast("int"))
+        placed = stored(_packed(dealt, ids, bins), "shard-round")
+        rounds.append((placed, ids))
+        items = placed.groupBy("lot", "bin").agg(*_sums()).withColumnsRenamed({"lot": "l", "bin": "b"})
+        ids, lots = ["l", "b"], -(-lots * bins // per_lot)
+    # the last round: what is left and the large groups, told apart by which keys they have
+    both = items.unionByName(large, allowMissingColumns=True) if ids != keys else items.unionByName(large)
+    names = [*ids, *keys] if ids != keys else keys
+    last = stored(_packed(both.withColumn("lot", F.lit(0)), names, shards).withColumn("shard", F.col("bin")), "shard-last")
+    if ids == keys:
+        return last.select(*keys, "shard")
+    out = last.where("l is not null").select("l", "b", "shard")
+    for placed, own in reversed(rounds):
+        mine = placed.withColumnsRenamed({"lot": "l2", "bin": "b2"})
+        out = mine.join(out.withColumnsRenamed({"l": "l2", "b": "b2"}), ["l2", "b2"]).select(*own, "shard")
+    return out.unionByName(last.where("l is null").select(*keys, "shard"))
+
+
+def _seats(docs: DataFrame, shards: int, id_col: str, text_col: str, per_lot: int = PER_LOT) -> DataFrame:
     """(doc_id, size, text_crc32, t1, shard, slot) for each row of ``docs``; t1 is the text's xxhash64."""
     spark = docs.sparkSession
     ship(spark)
@@ -56,46 +114,21 @@ def _seats(docs: DataFrame, shards: int, id_col: str, text_col: str) -> DataFram
         F.col(id_col).cast("long").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
-        F.xxhash64(text).alias("t1"), F.xxhash64(text.isNull(), F.reverse(text)).alias("t2")), "shard-rows")
+        F.xxhash64(text).alias("t1"), F.xxhash64(text.isNull(), F.reverse(text)).alias("t2"),
+        F.monotonically_increasing_id().alias("tie")), "shard-rows")
     groups = stored(rows.groupBy("t1", "t2").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "shard-groups")
     total = groups.agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"), F.count("*").alias("n")).first()
-    limit = max(1, (total.bytes or 0) // (shards * PIECES))
-    share = max(1, (total.rows or 0) // shards)
-    wanted = F.greatest(F.ceil(F.col("bytes") / limit), F.when(F.col("rows") > share, F.ceil(F.col("rows") * PIECES / share)))
-    # fewer than shards * PIECES groups are beyond the limit and than shards + 1 beyond the share: their list has a proven bound
-    big = groups.where((F.col("bytes") > limit) | (F.col("rows") > share)).select("t1", "t2", wanted.cast("int").alias("pieces"))
-    rows = rows.join(F.broadcast(big), ["t1", "t2"], "left").withColumn(
-        "piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id", "t1"), F.col("pieces"))).otherwise(F.lit(0)).cast("int")).drop("pieces")
-    n = max(1, round(total.n / PER_PARTITION))
-    lot = F.pmod(F.xxhash64("t1", "t2", "piece"), F.lit(n)).cast("int")
-    pieces = stored(rows.groupBy("t1", "t2", "piece").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-                    .withColumn("lot", lot), "shard-pieces")
-    totals = {r.lot: np.array([r.bytes, r.tokens, r.rows], float) for r in pieces.groupBy("lot").agg(
-        *[F.sum(d).alias(d) for d in _DIMENSIONS]).collect()}
-    known = spark.sparkContext.broadcast(totals)
-
-    def run(batches):
-        bins: dict[int, np.ndarray] = {}
-        for batch in batches:
-            lot, load = np.asarray(batch.column("lot")), np.stack([np.asarray(batch.column(d)) for d in _DIMENSIONS], 1).astype(float)
-            out = np.zeros(len(lot), np.int32)
-            for b in np.unique(lot).tolist():
-                left = bins.setdefault(b, np.ones((shards, 3)))
-                for i in np.flatnonzero(lot == b).tolist():
-                    item = load[i] * shards / np.maximum(known.value[b], 1)
-                    out[i] = at = int(np.argmax(left @ (item * _WEIGHT)))
-                    left[at] -= item
-            yield pa.record_batch([*(batch.column(c) for c in ("t1", "t2", "piece", "lot", *_DIMENSIONS)), pa.array(out)],
-                                  names=["t1", "t2", "piece", "lot", *_DIMENSIONS, "bin"])
-
-    placed = stored(pieces.repartition(n, "lot").sortWithinPartitions("lot", F.desc("bytes"), F.desc("tokens"), "t1", "t2", "piece").mapInArrow(
-        run, "t1 long, t2 long, piece int, lot int, bytes long, tokens long, rows long, bin int"), "shard-placed")
-    bins = placed.groupBy("lot", "bin").agg(*[F.sum(d).alias(d) for d in _DIMENSIONS]).collect()
-    bins.sort(key=lambda r: (-r.bytes, r.lot, r.bin))
-    load = np.array([[r.bytes, r.tokens, r.rows] for r in bins], float).reshape(-1, 3)
-    shard = place(load, shards, load.sum(0) / shards)
-    final = spark.createDataFrame([(r.lot, r.bin, int(s)) for r, s in zip(bins, shard, strict=True)], "lot int, bin int, shard int")
-    where = stored(placed.join(F.broadcast(final), ["lot", "bin"]).select("t1", "t2", "piece", "shard"), "shard-where")
+    share, most = (total.bytes or 0) / shards, (total.rows or 0) / shards
+    over = F.greatest(F.col("bytes") / F.lit(max(share, 1.0)), F.col("rows") / F.lit(max(most, 1.0)))
+    groups = groups.withColumn("pieces", F.when(over > 1, F.ceil(over * LARGE)).cast("int"))
+    # no more than 2 * shards groups are beyond a share by bytes or by rows
+    cut = F.broadcast(groups.where("pieces is not null").select("t1", "t2", "pieces"))
+    rows = rows.join(cut, ["t1", "t2"], "left").withColumn(
+        "piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id", "tie"), F.col("pieces"))).otherwise(F.lit(0)).cast("int")).drop("pieces")
+    parts_ = rows.join(cut, ["t1", "t2"], "left_semi").groupBy("t1", "t2", "piece").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
+    whole = groups.where("pieces is null").select("t1", "t2", F.lit(0).alias("piece"), *_DIMENSIONS, (over * LARGE > 1).alias("large"))
+    where = stored(_assigned(whole.where("not large").drop("large").unionByName(parts_), whole.where("large").drop("large"),
+                             total.n, shards, per_lot), "shard-where")
 
     seated = rows.join(where, ["t1", "t2", "piece"]).select("doc_id", "size", "text_crc32", "t1", "shard")
     seated = stored(ordered(seated, "shard", "doc_id", "t1"), "shard-order")
@@ -111,9 +144,9 @@ def _seats(docs: DataFrame, shards: int, id_col: str, text_col: str) -> DataFram
         "doc_id", "size", "text_crc32", "t1", "shard", (F.col("_row") + F.col("offset")).alias("slot"))
 
 
-def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", per_lot: int = PER_LOT) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of ``docs``."""
-    return _seats(docs, shards, id_col, text_col).select(
+    return _seats(docs, shards, id_col, text_col, per_lot).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
