@@ -19,14 +19,16 @@ Rows: null html is an empty page with empty text; a null or unparsable URL is
 the host "" with the URL as path; ids may be null. Character references are
 decoded, white space in a block is one space, blocks are trimmed, empty ones
 go, the rest is joined by two \\n. Columns other than the three named are not
-read. The memory of a task is bounded by its largest page, and for the
-alignment by the lines that are left between a common head and tail.
+read. Time and memory of a task grow with its largest page, broken markup or
+not; the alignment's time with the product of the lines that are left between
+a common head and tail, its memory with their sum.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from period_etl.llm.common import ordered, ship, stored
+from period_etl.llm.markup import Markup
 
 #: Elements whose content is text of another kind, and so never shown as text.
 _RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "title", "head", "select", "canvas"}
@@ -53,7 +56,6 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main",
           "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "button"}
 _CONTENT = {"article", "main"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
@@ -76,56 +78,92 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
 def blocks(page: str) -> Iterator[tuple[str, bool, bool]]:
     """(text, is boilerplate, is inside an article or main element) of each block in page order."""
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
     bad = inside = False
-    at, n = 0, len(page)
+    markup, last = Markup(page), 0
 
     def flush():
         line = " ".join(html.unescape("".join(text)).split())
         text.clear()
         return line
 
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            text.append(page[at:])
-            break
-        text.append(page[at:m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
+    for start, end, closes, name, attributes in markup.tags():
+        text.append(page[last:start])
+        last = end
         if not name:
             continue
-        if not m[1] and name in _RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            if close or name in ("script", "style"):
-                at = close.end() if close else n
+        if not closes and name in _RAW:
+            _, close = markup.close(name, end)
+            if close >= 0 or name in ("script", "style"):
+                markup.at = last = close if close >= 0 else len(page)
             continue
         if name == "br":
             text.append(" ")
             continue
-        mark = not m[1] and _boilerplate(name, m[3], inside)
+        mark = not closes and _boilerplate(name, attributes, inside)
         if name in _BLOCK or mark and name not in _VOID:
             if line := flush():
                 yield line, bad, inside
-        if m[1]:
-            if any(s[0] == name for s in stack):
+        if closes:
+            if opened[name]:
                 while stack:
                     top = stack.pop()
+                    opened[top[0]] -= 1
                     if top[0] == name:
                         break
                 if name in _BLOCK or top[1] != (stack[-1][1] if stack else False):
                     if line := flush():
                         yield line, bad, inside
                 bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        elif name not in _VOID and not m[3].endswith("/"):
+        elif name not in _VOID and not attributes.endswith("/"):
             if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             stack.append((name, bad or mark, inside or name in _CONTENT and not bad))
+            opened[name] += 1
             bad, inside = stack[-1][1], stack[-1][2]
+    text.append(page[last:])
     if line := flush():
         yield line, bad, inside
 
 
+#: Cells of the table by which a subsequence is traced; larger pairs are halved first.
+_CELLS = 1 << 22
+
+
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The length of the longest common subsequence of ``a`` with each beginning of ``b``."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.where(b == x, row[:-1] + 1, row[1:]))
+    return row
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``a`` whether it stands in one longest common subsequence with ``b``."""
+    out = np.zeros(len(a), bool)
+    if not len(a) or not len(b):
+        return out
+    if len(a) * len(b) > _CELLS and len(a) > 1:   # memory stays linear: cut a in the middle and b where the halves' lengths add up best
+        half = len(a) // 2
+        cut = int(np.argmax(_lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]))
+        return np.concatenate([_common(a[:half], b[:cut]), _common(a[half:], b[cut:])])
+    best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+    for i in range(len(a) - 1, -1, -1):
+        hit = np.where(b == a[i], best[i + 1, 1:] + 1, best[i + 1, :-1])
+        best[i, :-1] = np.maximum.accumulate(hit[::-1])[::-1]
+    i = j = 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out[i] = True
+            i, j = i + 1, j + 1
+        elif best[i + 1, j] >= best[i, j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def shared(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
     """For each of my lines whether it stands in a longest common subsequence with the other's."""
     out = np.zeros(len(mine), bool)
@@ -139,20 +177,7 @@ def shared(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
     a, b = mine[lo:hi], other[lo:end]
     place = np.flatnonzero(np.isin(a, b))     # what the other lacks is in no common subsequence
     a, b = a[place], b[np.isin(b, a)]
-    if len(a) and len(b):
-        best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
-        for i in range(len(a) - 1, -1, -1):
-            hit = np.where(b == a[i], best[i + 1, 1:] + 1, best[i + 1, :-1])
-            best[i, :-1] = np.maximum.accumulate(hit[::-1])[::-1]
-        i = j = 0
-        while i < len(a) and j < len(b):
-            if a[i] == b[j]:
-                out[lo + place[i]] = True
-                i, j = i + 1, j + 1
-            elif best[i + 1, j] >= best[i, j + 1]:
-                i += 1
-            else:
-                j += 1
+    out[lo + place[_common(a, b)]] = True
     return out
 
 

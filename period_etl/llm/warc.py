@@ -33,16 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from period_etl.llm.common import ship
+from period_etl.llm.markup import Markup
 
 VERSION = "WARC/1.1"
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivative")
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|"
-                    r"nav|ol|p|pre|section|table|td|th|tr|ul)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I)
-_TAG = re.compile(r"<[/!?]?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<![^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HIDDEN = {"script", "style", "noscript", "template", "head"}
+_BREAKS = {"address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+           "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul"}
+_LANGUAGE = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_LINK = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 RECORDS = ("record_id string, type string, refers_to string, target_uri string, date string, content_type string, block_digest string, "
            "payload_digest string, headers string, block string")
@@ -54,11 +53,38 @@ def digest(data: bytes) -> str:
 
 def visible_text(page: str) -> str:
     """The page's text: one line for each block, white space in a line as one space, no empty lines."""
-    plain = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(plain).split("\n"))
+    markup, last, out = Markup(page), 0, []
+    for start, end, closes, name, _ in markup.tags():
+        out.append(page[last:start])
+        last = end
+        if not closes and name in _HIDDEN:
+            _, close = markup.close(name, end)
+            markup.at = last = close if close >= 0 else len(page)
+        elif name in _BREAKS:
+            out.append("\n")
+    out.append(page[last:])
+    lines = (" ".join(line.split()) for line in html.unescape("".join(out)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def page_fields(page: str) -> tuple[str, str, list[str]]:
+    """(title, language, link targets) of a page; what stands in comments, scripts and styles doesn't count."""
+    markup, title, language, links = Markup(page), None, "", []
+    for _, end, closes, name, attributes in markup.tags():
+        if closes:
+            continue
+        if name in ("script", "style", "title"):
+            start, close = markup.close(name, end)
+            if name == "title" and title is None:
+                title = page[end:start if start >= 0 else len(page)]
+            markup.at = close if close >= 0 else len(page) if name != "title" else end
+        elif name == "html" and not language and (m := _LANGUAGE.search(attributes)):
+            language = m[1]
+        elif name == "a" and (m := _LINK.search(attributes)):
+            links.append(m[1] or m[2] or m[3] or "")
+    return _one_line(html.unescape(title or "")), language, [_one_line(html.unescape(x)) for x in links]
+
+
 def header_lines(headers: str | None) -> list[str]:
     """A response's header lines in order, with their continuation lines; no empty lines, no line ends."""
     whole = re.sub(r"(?:\r\n|\r|\n)[ \t]+(?=[^\s])", " ", headers or "")
@@ -90,9 +116,8 @@ def derivatives(record_id: str | None, uri: str | None, date: str | None, header
               ("source-payload-digest", payload)]
     fields += [("source-header" if i or not line.startswith("HTTP/") else "source-status-line", line) for i, line in enumerate(header_lines(headers))]
     if is_html:
-        seen = page if "<!--" not in page else re.sub(r"<!--.*?(?:-->|\Z)", "", page, flags=re.S)
-        fields += [("title", _one_line(html.unescape(m[1])) if (m := _TITLE.search(seen)) else ""), ("language", m[1] if (m := _LANGUAGE.search(seen)) else "")]
-        fields += [("outlink", _one_line(html.unescape(a or b or c))) for a, b, c in _LINK.findall(seen)]
+        title, language, links = page_fields(page)
+        fields += [("title", title), ("language", language), *(("outlink", x) for x in links)]
     text = visible_text(page) if is_html else page if kind.startswith("text/") else ""
     for type_, content, block in (
             ("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields if v)), ("conversion", "text/plain; charset=utf-8", text)):

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import html
 import random
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +49,39 @@ def test_longest_common_subsequence():
         assert mark.sum() == best[0][0] and all(x in rest for x, m in zip(a, mark, strict=True) if m)
 
 
+BROKEN = {"tags never closed": "<a " * 700_000, "quotes never closed": '<a "' * 500_000 + ">", "odd quotes": "<a '\"" * 400_000 + "'>", "names": "<a" * 500_000 + ' ">',
+          "open and wrong end tags": "<b>" * 300_000 + "</i>" * 300_000, "raw never closed": "<noscript>" * 200_000, "titles": "<title " * 300_000,
+          "comments": "<!-- " * 400_000, "ends without >": "<style></style" * 150_000, "quoted >": "<a '>" * 400_000}
+
+
+@pytest.mark.parametrize("kind", sorted(BROKEN))
+def test_broken_pages_take_linear_time(kind):
+    """Megabytes of markup that never closes: each takes a few seconds at most, and 'text stays text' holds at the end."""
+    page = BROKEN[kind]
+    began = time.monotonic()
+    list(blocks(page))
+    warc.visible_text(page)
+    warc.page_fields(page)
+    assert time.monotonic() - began < 15
+
+
+def test_what_is_no_tag_is_text():
+    assert text_of("<p>1 < 2, <a 'x, <b>bold</b>") == "1 < 2, <a 'x, bold"
+    assert text_of("<p>open <i class=\"x") == 'open <i class="x' and text_of("<p title='a>b'>t</p>") == "t"
+
+
+def test_large_alignments_need_linear_memory(monkeypatch):
+    r, plain = random.Random(7), html_text._CELLS
+    for _ in range(100):
+        a, b = (np.array([r.randint(0, 6) for _ in range(r.randint(0, 40))], np.int64) for _ in range(2))
+        monkeypatch.setattr(html_text, "_CELLS", plain)
+        want = shared(a, b).sum()
+        monkeypatch.setattr(html_text, "_CELLS", 4)
+        mark = shared(a, b)
+        rest = iter(b.tolist())
+        assert mark.sum() == want and all(x in rest for x in a[mark].tolist())
+
+
 def site():
     out = []
     for host in ("a.example", "b.example"):
