@@ -51,38 +51,44 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def visible_text(page: str) -> str:
-    """The page's text: one line for each block, white space in a line as one space, no empty lines."""
-    markup, last, out = Markup(page), 0, []
-    for start, end, closes, name, _ in markup.tags():
-        out.append(page[last:start])
+def page_parts(page: str) -> tuple[str, str, str, list[str]]:
+    """(text, title, language, link targets) of a page by one pass over its tags.
+
+    The text has one line for each block, white space in a line as one space
+    and no empty lines. What stands in comments, scripts and styles doesn't count.
+    """
+    markup, last, muted, out = Markup(page), 0, 0, []
+    title, language, links = None, "", []
+    for start, end, closes, name, attributes in markup.tags():
+        shown = start >= muted
+        if shown:
+            out.append(page[max(last, muted):start])
         last = end
-        if not closes and name in _HIDDEN:
-            _, close = markup.close(name, end)
-            markup.at = last = close if close >= 0 else len(page)
-        elif name in _BREAKS:
+        if shown and name in _BREAKS:
             out.append("\n")
-    out.append(page[last:])
-    lines = (" ".join(line.split()) for line in html.unescape("".join(out)).split("\n"))
-    return "\n".join(line for line in lines if line)
-
-
-def page_fields(page: str) -> tuple[str, str, list[str]]:
-    """(title, language, link targets) of a page; what stands in comments, scripts and styles doesn't count."""
-    markup, title, language, links = Markup(page), None, "", []
-    for _, end, closes, name, attributes in markup.tags():
         if closes:
             continue
-        if name in ("script", "style", "title"):
-            start, close = markup.close(name, end)
-            if name == "title" and title is None:
-                title = page[end:start if start >= 0 else len(page)]
-            markup.at = close if close >= 0 else len(page) if name != "title" else end
+        if name in _HIDDEN:
+            _, close = markup.close(name, end)
+            stop = close if close >= 0 else len(page)
+            muted = max(muted, stop)
+            if name in ("script", "style"):
+                markup.at = last = stop
+        elif name == "title" and title is None:
+            close, _ = markup.close(name, end)
+            title = page[end:close if close >= 0 else len(page)]
         elif name == "html" and not language and (m := _LANGUAGE.search(attributes)):
             language = m[1]
         elif name == "a" and (m := _LINK.search(attributes)):
-            links.append(m[1] or m[2] or m[3] or "")
-    return _one_line(html.unescape(title or "")), language, [_one_line(html.unescape(x)) for x in links]
+            links.append(_one_line(html.unescape(m[1] or m[2] or m[3] or "")))
+    out.append(page[max(last, muted):])
+    lines = (" ".join(line.split()) for line in html.unescape("".join(out)).split("\n"))
+    return "\n".join(line for line in lines if line), _one_line(html.unescape(title or "")), language, links
+
+
+def visible_text(page: str) -> str:
+    """The page's text alone."""
+    return page_parts(page)[0]
 
 
 def header_lines(headers: str | None) -> list[str]:
@@ -116,9 +122,10 @@ def derivatives(record_id: str | None, uri: str | None, date: str | None, header
               ("source-payload-digest", payload)]
     fields += [("source-header" if i or not line.startswith("HTTP/") else "source-status-line", line) for i, line in enumerate(header_lines(headers))]
     if is_html:
-        title, language, links = page_fields(page)
+        text, title, language, links = page_parts(page)
         fields += [("title", title), ("language", language), *(("outlink", x) for x in links)]
-    text = visible_text(page) if is_html else page if kind.startswith("text/") else ""
+    else:
+        text = page if kind.startswith("text/") else ""
     for type_, content, block in (
             ("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields if v)), ("conversion", "text/plain; charset=utf-8", text)):
         raw = block.encode()
