@@ -38,7 +38,7 @@ from period_etl import (  # noqa: E402
     write_table,
 )
 from period_etl.functions import month_key_col, period_key_col  # noqa: E402
-from period_etl.operators.sinks import file_sizes  # noqa: E402
+from period_etl.operators.sinks import file_sizes, vacuum_runs  # noqa: E402
 from period_etl.plans.changed import read_ledger, run_changed  # noqa: E402
 from period_etl.session import scratch_dir, unique_name  # noqa: E402
 from period_etl.sources.landing import list_entry_names  # noqa: E402
@@ -388,6 +388,28 @@ def q33_byte_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         (F.sum("length") < F.count("*") * 20_000).alias("needlessly_small"))
 
 
+def q34_swapped_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A leased run into tables that swap periods, a run that fails on its way, March 1996 delivered twice over, a run for
+    it, and the tables attached anew under another namespace after the old folders are gone."""
+    base, land = _landing(spark, sf_dir, "q34")
+    first, second = (Storage(namespace=unique_name("petl"), location=f"{base}/warehouse", swap=True) for _ in range(2))
+    run_all(spark, land, "o_orderdate", first, "orders", lease_seconds=3600)
+    march = scan_parquet(spark, f"{land}/entry=orders_1996-03")
+    broken = clean_frame(spark, land, "o_orderdate").withColumn(
+        "o_orderpriority", F.when(F.col("period") > "1998", F.raise_error(F.lit("lost on the way"))).otherwise(F.col("o_orderpriority")))
+    try:
+        write_table(broken, first.target("orders", "clean"), mode="swap_partitions", folder=first.table_folder("orders", "clean"))
+    except Exception as error:
+        if "lost on the way" not in str(error):
+            raise
+    march.write.parquet(f"{base}/again")
+    scan_parquet(spark, f"{base}/again").write.mode("append").parquet(f"{land}/entry=orders_1996-03")
+    run_all(spark, land, "o_orderdate", first, "orders", entries=["entry=orders_1996-03"], lease_seconds=3600)
+    for stage in ("clean", "analytics"):
+        vacuum_runs(spark, first.target("orders", stage), "period", first.table_folder("orders", stage))
+    return read_stage(spark, second, "orders", "analytics")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -422,6 +444,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q31_stream_partial_counts": q31_stream_partial_counts,
     "q32_changed_entries": q32_changed_entries,
     "q33_byte_bounded_files": q33_byte_bounded_files,
+    "q34_swapped_periods": q34_swapped_periods,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -483,6 +506,8 @@ _ORACLE = {
         f"SELECT period, CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS runs, "
         f"CAST(n_rows * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS BIGINT) AS n_rows FROM ({_LOADED})"),
     "q33_byte_bounded_files": "SELECT count(*) AS n_rows, 0 AS files_over, false AS needlessly_small FROM events",
+    "q34_swapped_periods": (
+        f"SELECT date, period, total_trips * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS total_trips FROM ({_DAILY})"),
     "q28_last_entry_wins": f"{_Q04} AND ({_M} <> '1996-03' OR o_orderkey % 2 = 0)",
 }
 

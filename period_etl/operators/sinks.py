@@ -8,6 +8,11 @@ Write modes
                          (dynamic partition overwrite); a rerun is idempotent
                          and other periods are untouched.
 ``overwrite``            replace the whole dataset (paths only).
+``swap_partitions``      as ``overwrite_partitions``, for tables with a folder of
+                         their own: the rows go to a run folder first, then the
+                         catalog points each period to it. A period has its old
+                         rows or its new ones, never some of each or none; a
+                         write that dies leaves the old ones.
 
 A caller that knows which key values a write should have covered passes the
 report's ``keys`` and those values to ``drop_keys``: values that the input no
@@ -23,6 +28,8 @@ Spark splits skewed keys and merges small ones there.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
@@ -214,12 +221,15 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
       are counted by the write itself, so the plan runs once;
     * existing table, ``append``: rows added, columns matched by name (K3);
     * existing table, ``overwrite_partitions``: the input's periods replaced;
-      other columns than the table's raise ``ValueError``;
+      other columns than the table's raise ``ValueError``; ``swap_partitions``
+      does the same all-or-nothing, through run folders under ``folder``;
     * null keys are dropped and counted (K5); ``key`` must be a string (K6);
     * ``max_records_per_file`` rolls output files (K7).
     """
-    if mode not in ("append", "overwrite_partitions"):
-        raise ValueError("table mode must be 'append' or 'overwrite_partitions'")
+    if mode not in ("append", "overwrite_partitions", "swap_partitions"):
+        raise ValueError("table mode must be 'append', 'overwrite_partitions' or 'swap_partitions'")
+    if mode == "swap_partitions" and not folder:
+        raise ValueError("swap_partitions needs the table's folder")
     check_key(df, key)
     spark = df.sparkSession
     exists = table_exists(spark, table)
@@ -243,10 +253,95 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
     for names, what in ((known - given, "missing from input"), (given - known, "not in the table")):
         if names:
             raise ValueError(f"columns {sorted(names)} {what}: {table}")
+    if mode == "swap_partitions":
+        run = new_run(folder)
+        _writer(clean.select(*cols), key, "append", max_records_per_file).save(run)
+        swap_partitions(spark, table, key, run, report.keys)
+        return report
     overwrite_table_partitions(clean, table, max_records_per_file)
     return report
 
 
+RUNS = "_runs"
+
+
+def new_run(folder: str) -> str:
+    """A folder for the rows of one run; later ones have later names."""
+    return f"{folder.rstrip('/')}/{RUNS}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def swap_partitions(spark: SparkSession, table: str, key: str, run: str, values: Iterable[str]) -> None:
+    """Point the partitions of the given key values to a run's folder: one call to the catalog each."""
+    folders = partition_values(spark, run, key) or {}
+    for value in values:
+        spec, place = f"PARTITION (`{key}` = {sql_text(value)})", sql_text(f"{run}/{folders[value]}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION {place}")
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
+    spark.catalog.refreshTable(table)
+
+
+def committed_runs(spark: SparkSession, folder: str) -> list[str]:
+    """The run folders of a table whose writes were finished, earliest first."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path
+    runs = path(f"{folder.rstrip('/')}/{RUNS}")
+    fs = runs.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(runs):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(runs))
+    return [f"{folder.rstrip('/')}/{RUNS}/{n}" for n in names if fs.exists(path(f"{folder.rstrip('/')}/{RUNS}/{n}/_SUCCESS"))]
+
+
+def attach_runs(spark: SparkSession, table: str, key: str, folder: str) -> None:
+    """In a new session: register the table if only runs hold its rows, and point each partition to the last finished run that has it."""
+    runs = committed_runs(spark, folder)
+    if not table_exists(spark, table):
+        files = file_sizes(spark, runs).where(F.col("path").endswith(".parquet")).agg(F.max("path")).first()[0]
+        if not files:
+            return
+        # the newest file's columns; a run that emptied periods has no file
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(files).schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({fields}, `{key}` string) USING parquet PARTITIONED BY (`{key}`) LOCATION {sql_text(folder)}")
+    newest: dict[str, str] = {}
+    for run in runs:
+        newest.update(dict.fromkeys(partition_values(spark, run, key) or {}, run))
+    for run in sorted(set(newest.values())):
+        swap_partitions(spark, table, key, run, [v for v, r in newest.items() if r == run])
+
+
+def empty_partitions(spark: SparkSession, table: str, key: str, folder: str, values: Iterable[str]) -> None:
+    """Swap in no rows for the given key values, so that an earlier run's rows don't come back."""
+    known = {r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    gone = [v for v in dict.fromkeys(values) if v in known]
+    if not gone:
+        return
+    run, path = new_run(folder), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(run).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for value in gone:
+        fs.mkdirs(path(f"{run}/{key}={value}"))
+    fs.create(path(f"{run}/_SUCCESS"), True).close()
+    swap_partitions(spark, table, key, run, gone)
+
+
+def vacuum_runs(spark: SparkSession, table: str, key: str, folder: str) -> list[str]:
+    """Delete the folders that no partition points to any more; call it when no reader of old rows is left.
+
+    Only periods that a later finished run has are deleted: folders of a run
+    that is being written stay.
+    """
+    runs, deleted = committed_runs(spark, folder), []
+    held = {run: partition_values(spark, run, key) or {} for run in runs}
+    for i, run in enumerate([folder.rstrip("/"), *runs]):
+        later = set().union(*(held[r] for r in runs[i:]))
+        for value, name in (partition_values(spark, run, key) or {}).items():
+            if value in later:
+                delete_folder(spark, f"{run}/{name}")
+                deleted.append(f"{run}/{name}")
+        if i and not set(held[run]) - later:
+            delete_folder(spark, run)
+    return deleted
+
+
 def overwrite_table_partitions(df: DataFrame, table: str, max_records_per_file: int | None = None) -> None:
     """Replace the partitions of a table that the rows lie in, columns matched by name."""
     spark = df.sparkSession

@@ -18,11 +18,15 @@ from period_etl.fixed import ANALYTICS, CLEAN, DATE, PERIOD, TOTAL
 from period_etl.functions.periods import parse_period
 from period_etl.operators.batches import BATCH, live, summed
 from period_etl.operators.clean import filter_by_period
+from period_etl.operators.lease import Lease, single_writer
 from period_etl.operators.rollup import daily_counts
 from period_etl.operators.sinks import (
     WriteReport,
+    attach_runs,
+    committed_runs,
     drop_keys,
     drop_table_keys,
+    empty_partitions,
     ensure_namespace,
     file_sizes,
     rows_for_bytes,
@@ -57,7 +61,8 @@ class Storage:
     in a namespace that exists already. ``rebalance`` adds one exchange by
     period before a write, for landing sets of many small files.
     ``max_bytes_per_file`` bounds the files that ``clean_all`` writes in bytes
-    (``max_records_per_file`` bounds all files in rows).
+    (``max_records_per_file`` bounds all files in rows). ``swap`` replaces the
+    periods of tables all-or-nothing (``swap_partitions``).
     """
 
     root: str | None = None
@@ -66,8 +71,11 @@ class Storage:
     max_records_per_file: int | None = None
     rebalance: bool = False
     max_bytes_per_file: int | None = None
+    swap: bool = False
 
     def __post_init__(self):
+        if self.swap and not (self.namespace and self.location):
+            raise ValueError("swap needs a namespace with a location")
         if (self.root is None) == (self.namespace is None):
             raise ValueError("give exactly one of root (path mode) or namespace (table mode)")
 
@@ -93,9 +101,13 @@ def _attach_if_stored(spark: SparkSession, storage: Storage, data_id: str, stage
     target = storage.target(data_id, stage)
     if folder is None or table_exists(spark, target):
         return
-    if partition_values(spark, folder, KEY):
+    stored, runs = partition_values(spark, folder, KEY), committed_runs(spark, folder)
+    if stored or runs:
         ensure_namespace(spark, storage.namespace, storage.location)
+    if stored:
         attach_table(spark, target, folder)
+    if runs:
+        attach_runs(spark, target, KEY, folder)
 
 
 def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
@@ -111,7 +123,8 @@ def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
     if storage.tables:
         ensure_namespace(spark, storage.namespace, storage.location)
         _attach_if_stored(spark, storage, data_id, stage)
-        report = write_table(df, target, KEY, mode, folder=storage.table_folder(data_id, stage), **limits)
+        how = "swap_partitions" if storage.swap and mode == "overwrite_partitions" else mode
+        report = write_table(df, target, KEY, how, folder=storage.table_folder(data_id, stage), **limits)
     else:
         report = write_partitioned(df, target, KEY, mode, **limits)
     if run_periods is not None and mode == "overwrite_partitions":
@@ -128,7 +141,11 @@ def drop_periods(spark: SparkSession, storage: Storage, data_id: str, stage: str
     target = storage.target(data_id, stage)
     if storage.tables:
         _attach_if_stored(spark, storage, data_id, stage)
-        drop_table_keys(spark, target, KEY, gone, storage.table_folder(data_id, stage))
+        folder = storage.table_folder(data_id, stage)
+        if table_exists(spark, target) and folder and committed_runs(spark, folder):
+            empty_partitions(spark, target, KEY, folder, gone)
+        else:
+            drop_table_keys(spark, target, KEY, gone, folder)
     else:
         drop_keys(spark, target, KEY, gone)
 
@@ -379,7 +396,7 @@ class RunResult:
 def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,
             data_id: str, mode: str = "overwrite_partitions",
             entries: Sequence[str] | None = None, on_duplicate: str = "error",
-            from_min: bool = False, **options: str) -> RunResult:
+            from_min: bool = False, lease_seconds: float | None = None, **options: str) -> RunResult:
     """L5: ingest (list the landing set), clean all periods, then analytics.
 
     Two passes over the data in all (clean, then analytics of the stored
@@ -388,10 +405,25 @@ def run_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storag
     run that has no rows any more loses its stored ones), ``append``
     keeps the append-only behaviour (a rerun doubles the clean rows and adds
     a second row per day). ``from_min`` recomputes analytics for every
-    stored period from the run's earliest one on.
+    stored period from the run's earliest one on. With ``lease_seconds`` the run
+    holds the output's lease (see ``operators.lease``): a second run at the same
+    time raises ``LeaseHeld``.
     """
+    if lease_seconds:
+        base = storage.root or storage.location
+        if base is None:
+            raise ValueError("a namespace without a location has no place for the lease")
+        with single_writer(spark, f"{base.rstrip('/')}/_leases/{data_id}", lease_seconds) as lease:
+            return _run(spark, landing_root, ts_col, storage, data_id, mode, entries, on_duplicate, from_min, lease, options)
+    return _run(spark, landing_root, ts_col, storage, data_id, mode, entries, on_duplicate, from_min, None, options)
+
+
+def _run(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage, data_id: str, mode: str, entries: Sequence[str] | None,
+         on_duplicate: str, from_min: bool, lease: Lease | None, options: dict) -> RunResult:
     periods, clean = clean_all(spark, landing_root, ts_col, storage, data_id, mode,
                                entries, on_duplicate, **options)
+    if lease:
+        lease.renew()   # analytics must not follow a clean that another run has overtaken
     if clean.written:
         analytics = analytics_all(spark, storage, data_id, periods, ts_col, mode, from_min)
     else:  # a first run without a row in its months creates no table
