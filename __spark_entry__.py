@@ -12,7 +12,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -410,6 +410,26 @@ def q34_swapped_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, second, "orders", "analytics")
 
 
+def q35_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that arrive in descending key order, in two files each, cleaned through an exchange that mixes them: stored
+    rows whose key is not below that of the row before them from the same input file."""
+    base = scratch_dir(spark, "q35")
+    orders = scan_parquet(spark, _t(sf_dir, "orders")).withColumns({
+        "entry": F.concat(F.lit("orders_"), shifted_period(F.col("o_orderdate"))), "part": F.pmod(F.xxhash64("o_orderkey"), F.lit(2))})
+    for part in range(2):
+        orders.where(F.col("part") == part).repartition("entry").sortWithinPartitions("entry", F.desc("o_orderkey")).write.mode("append").partitionBy(
+            "entry").parquet(f"{base}/landing")
+    storage = Storage(root=f"{base}/out", rebalance=True, keep_order=True)
+    clean_all(spark, f"{base}/landing", "o_orderdate", storage, "orders")
+    stored = read_stage(spark, storage, "orders", "clean").select(
+        "o_orderkey", "part", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = Window.partitionBy("f", "part").orderBy("i")
+    runs = Window.partitionBy("f").orderBy("i")
+    checked = stored.withColumns({"up": F.lag("o_orderkey").over(before) <= F.col("o_orderkey"), "turn": F.lag("part").over(runs) != F.col("part")})
+    files = checked.groupBy("f").agg(F.count("*").alias("n"), F.count_if("up").alias("up"), F.count_if("turn").alias("turns"))
+    return files.agg(F.sum("n").alias("n_rows"), F.sum("up").alias("out_of_order"), F.count_if(F.col("turns") > 1).alias("mixed_files"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -445,6 +465,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q32_changed_entries": q32_changed_entries,
     "q33_byte_bounded_files": q33_byte_bounded_files,
     "q34_swapped_periods": q34_swapped_periods,
+    "q35_input_order": q35_input_order,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -508,6 +529,7 @@ _ORACLE = {
     "q33_byte_bounded_files": "SELECT count(*) AS n_rows, 0 AS files_over, false AS needlessly_small FROM events",
     "q34_swapped_periods": (
         f"SELECT date, period, total_trips * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS total_trips FROM ({_DAILY})"),
+    "q35_input_order": f"SELECT count(*) AS n_rows, 0 AS out_of_order, 0 AS mixed_files FROM orders WHERE {_M} = {_N}",
     "q28_last_entry_wins": f"{_Q04} AND ({_M} <> '1996-03' OR o_orderkey % 2 = 0)",
 }
 

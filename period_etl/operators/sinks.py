@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
@@ -95,8 +95,10 @@ def drop_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
     return counted.filter(F.col(key).isNotNull()), obs
 
 
-def _prepare(df: DataFrame, key: str, rebalance: bool) -> DataFrame:
-    return df.hint("rebalance", key) if rebalance else df
+def _prepare(df: DataFrame, key: str, rebalance: bool, order_by: Sequence[str]) -> DataFrame:
+    df = df.hint("rebalance", key) if rebalance else df
+    # the writer needs rows by key anyway; sorted like this it adds no sort of its own
+    return df.sortWithinPartitions(key, *order_by).drop(*order_by) if order_by else df
 
 
 def _writer(df: DataFrame, key: str, mode: str, max_records_per_file: int | None):
@@ -140,16 +142,17 @@ def rows_for_bytes(spark: SparkSession, paths: Iterable[str], max_bytes: int) ->
 def write_partitioned(df: DataFrame, path: str, key: str = PERIOD,
                       mode: str = "append", *, drop_nulls: bool = False,
                       max_records_per_file: int | None = None,
-                      rebalance: bool = False) -> WriteReport:
+                      rebalance: bool = False, order_by: Sequence[str] = ()) -> WriteReport:
     """K1: hive-style dataset ``path/key=value/part-*.parquet``.
 
     Directories are created by the writer. The key is kept in the directory
     name and comes back as a column when the dataset is read. With
     ``drop_nulls`` null keys are dropped as in K5; otherwise they land in the
-    ``__HIVE_DEFAULT_PARTITION__`` directory and read back as null.
+    ``__HIVE_DEFAULT_PARTITION__`` directory and read back as null. The rows of
+    each file are in the order of the columns ``order_by``, which are not stored.
     """
     check_key(df, key)
-    df = _prepare(df, key, rebalance)
+    df = _prepare(df, key, rebalance, order_by)
     if drop_nulls:
         df, obs = drop_null_keys(df, key)
     else:
@@ -212,7 +215,7 @@ def drop_table_keys(spark: SparkSession, table: str, key: str, values: Iterable[
 
 def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "append",
                 *, max_records_per_file: int | None = None,
-                rebalance: bool = False, folder: str | None = None) -> WriteReport:
+                rebalance: bool = False, folder: str | None = None, order_by: Sequence[str] = ()) -> WriteReport:
     """K2-K7: write to a catalog table partitioned by ``key``.
 
     * missing table: created from the frame's schema, identity-partitioned by
@@ -233,7 +236,7 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
     check_key(df, key)
     spark = df.sparkSession
     exists = table_exists(spark, table)
-    clean, obs = drop_null_keys(_prepare(df, key, rebalance), key)
+    clean, obs = drop_null_keys(_prepare(df, key, rebalance, order_by), key)
     report = WriteReport(table, True, obs)
     if not exists or mode == "append":
         # saveAsTable creates the table or appends to it, by column name.

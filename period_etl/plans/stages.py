@@ -35,7 +35,7 @@ from period_etl.operators.sinks import (
     write_partitioned,
     write_table,
 )
-from period_etl.sources.landing import list_landing, read_landing_clean
+from period_etl.sources.landing import INPUT_ORDER, list_landing, read_landing_clean
 from period_etl.sources.parquet import (
     key_filter,
     partition_values,
@@ -62,7 +62,8 @@ class Storage:
     period before a write, for landing sets of many small files.
     ``max_bytes_per_file`` bounds the files that ``clean_all`` writes in bytes
     (``max_records_per_file`` bounds all files in rows). ``swap`` replaces the
-    periods of tables all-or-nothing (``swap_partitions``).
+    periods of tables all-or-nothing (``swap_partitions``). ``keep_order`` writes
+    the rows of each clean file in the order in which they stood in the landing files.
     """
 
     root: str | None = None
@@ -72,6 +73,7 @@ class Storage:
     rebalance: bool = False
     max_bytes_per_file: int | None = None
     swap: bool = False
+    keep_order: bool = False
 
     def __post_init__(self):
         if self.swap and not (self.namespace and self.location):
@@ -111,7 +113,7 @@ def _attach_if_stored(spark: SparkSession, storage: Storage, data_id: str, stage
 
 
 def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
-                mode: str, run_periods: Sequence[str] | None = None) -> WriteReport:
+                mode: str, run_periods: Sequence[str] | None = None, order_by: Sequence[str] = ()) -> WriteReport:
     """Store a stage's rows. With ``run_periods`` (the periods that the rows
     stand for) ``overwrite_partitions`` also drops the stored rows of those
     periods that the rows don't have any more, so a rerun leaves what a first
@@ -119,7 +121,7 @@ def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
     spark, target = df.sparkSession, storage.target(data_id, stage)
     if stored_batches(spark, storage, data_id, stage):
         raise ValueError(f"{target} is kept by micro-batch; a run can't write to it")
-    limits = {"max_records_per_file": storage.max_records_per_file, "rebalance": storage.rebalance}
+    limits = {"max_records_per_file": storage.max_records_per_file, "rebalance": storage.rebalance, "order_by": order_by}
     if storage.tables:
         ensure_namespace(spark, storage.namespace, storage.location)
         _attach_if_stored(spark, storage, data_id, stage)
@@ -214,11 +216,12 @@ def clean_period(spark: SparkSession, path: str, period: str, ts_col: str,
 
 def clean_frame(spark: SparkSession, landing_root: str, ts_col: str,
                 entries: Sequence[str] | None = None,
-                on_duplicate: str = "error", inexact: bool = False, **options: str) -> DataFrame:
+                on_duplicate: str = "error", inexact: bool = False, ordered: bool = False, **options: str) -> DataFrame:
     """L2 as a frame: every landing entry, cleaned against its own period;
     ``options`` go to the Parquet reader. ``inexact`` lets numbers that have no
-    exact common type in all entries be rounded (else they raise)."""
-    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate, inexact, **options)
+    exact common type in all entries be rounded (else they raise). ``ordered``
+    keeps the columns of ``INPUT_ORDER``, which say where a row stood."""
+    return read_landing_clean(spark, landing_root, ts_col, entries, on_duplicate, inexact, ordered, **options)
 
 
 def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Storage,
@@ -232,10 +235,10 @@ def clean_all(spark: SparkSession, landing_root: str, ts_col: str, storage: Stor
     log.info("clean: %d landing entries (%s .. %s) -> %s, mode=%s", len(chosen),
              min(e.period for e in chosen), max(e.period for e in chosen),
              storage.target(data_id, CLEAN), mode)
-    df = clean_frame(spark, landing_root, ts_col, names, "error", **options)
+    df = clean_frame(spark, landing_root, ts_col, names, "error", ordered=storage.keep_order, **options)
     periods = sorted(e.period for e in chosen)
     if not storage.max_bytes_per_file:
-        return periods, write_stage(df, storage, data_id, CLEAN, mode, periods)
+        return periods, write_stage(df, storage, data_id, CLEAN, mode, periods, INPUT_ORDER if storage.keep_order else ())
     return periods, _write_bounded(df, storage, data_id, mode, periods, [e.path for e in chosen])
 
 
@@ -252,7 +255,8 @@ def _write_bounded(df: DataFrame, storage: Storage, data_id: str, mode: str, per
     while True:
         rows = min(r for r in (rows or None, storage.max_records_per_file) if r) if rows or storage.max_records_per_file else None
         with scoped_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(bound)):
-            report = write_stage(df, replace(storage, max_records_per_file=rows), data_id, CLEAN, mode, periods)
+            report = write_stage(df, replace(storage, max_records_per_file=rows), data_id, CLEAN, mode, periods,
+                                 INPUT_ORDER if storage.keep_order else ())
         folders = _period_folders(spark, storage, data_id, report.keys) if report.written else []
         most = file_sizes(spark, folders).agg(F.max("length")).first()[0] if folders else 0
         if not rows or rows == 1 or (most or 0) <= 1.1 * bound:

@@ -40,6 +40,9 @@ from period_etl.sources.parquet import literal_path
 from period_etl.sources.schemas import entry_types, footer_columns, merge_failed, resolve
 
 _FILE_PATH = "__period_etl_file_path"
+_ROW = "__period_etl_row"
+#: Columns that say where a row stood in the landing set, in order.
+INPUT_ORDER = (_FILE_PATH, _ROW)
 
 
 @dataclass(frozen=True)
@@ -132,7 +135,7 @@ def tag_period(df: DataFrame, root: str, file_path_col: str, checked: bool = Tru
     return df.withColumn(PERIOD, period).drop(file_path_col)
 
 
-def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dict, inexact: bool) -> DataFrame:
+def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dict, inexact: bool, ordered: bool = False) -> DataFrame:
     """All entries with the columns of all of them, a missing column as null, and each row's file path.
 
     The footers decide (one Spark job, no data read). Entries that agree, or
@@ -146,7 +149,9 @@ def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dic
         reader = spark.read.options(**options)
         reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", options.get("mergeSchema", "true"))
         # Take only file_path out of _metadata right at the scan.
-        return reader.parquet(*[literal_path(e.path) for e in some]).select("*", F.col("_metadata.file_path").alias(_FILE_PATH))
+        return reader.parquet(*[literal_path(e.path) for e in some]).select("*", *places)
+
+    places = [F.col("_metadata.file_path").alias(_FILE_PATH), *[F.col("_metadata.row_index").alias(_ROW)] * ordered]
 
     try:
         return scan(entries)
@@ -165,13 +170,14 @@ def _read_entries(spark: SparkSession, entries: list[LandingEntry], options: dic
         groups.setdefault(mine.json(), (mine, []))[1].append(entry)
     out = None
     for mine, some in groups.values():
-        df = scan(some, mine).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema], _FILE_PATH)
+        df = scan(some, mine).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema], _FILE_PATH, *[_ROW] * ordered)
         out = df if out is None else out.unionByName(df)
     return out
 
 
 def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
-          on_duplicate: str, options: dict, inexact: bool) -> tuple[DataFrame, Column, bool]:
+          on_duplicate: str, options: dict, inexact: bool,
+          ordered: bool = False) -> tuple[DataFrame, Column, bool]:
     """One scan of the chosen entries plus the per-row period expression.
 
     When every entry name has its period at the same place (the usual
@@ -181,7 +187,7 @@ def _scan(spark: SparkSession, root: str, entries: Sequence[str] | None,
     """
     root = qualify(spark, root)
     chosen = list_landing(spark, root, entries, on_duplicate)
-    df = _read_entries(spark, chosen, options, inexact)
+    df = _read_entries(spark, chosen, options, inexact, ordered)
     fp = F.col(_FILE_PATH)
     offset = shared_period_offset((e.name, e.period) for e in chosen)
     if offset is not None:
@@ -203,17 +209,19 @@ def read_landing(spark: SparkSession, root: str,
 def read_landing_clean(spark: SparkSession, root: str, ts_col: str,
                        entries: Sequence[str] | None = None,
                        on_duplicate: str = "error", inexact: bool = False,
-                       **options: str) -> DataFrame:
+                       ordered: bool = False, **options: str) -> DataFrame:
     """S2 + L2 fused: the landing rows that lie in their own entry's month.
 
     Same rows as ``clean_tagged(read_landing(...))``. On the regex path the
     regex runs once, inside the month test, and a kept row's ``period`` is
     its own ``YYYY-MM`` (equal to its entry's by the test); on the
-    fixed-position path the substring is cheap enough to take twice.
+    fixed-position path the substring is cheap enough to take twice. With
+    ``ordered`` the rows keep the columns of INPUT_ORDER.
     """
-    df, period, fixed_position = _scan(spark, root, entries, on_duplicate, options, inexact)
+    df, period, fixed_position = _scan(spark, root, entries, on_duplicate, options, inexact, ordered)
     ts = F.col(ts_col)
     own = month_key_col(ts) == period_key_col(period)
     out = period if fixed_position else month_text_col(ts)
-    return df.filter(own).withColumn(PERIOD, out).drop(_FILE_PATH)
+    kept = df.filter(own).withColumn(PERIOD, out)
+    return kept if ordered else kept.drop(_FILE_PATH)
 

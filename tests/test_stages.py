@@ -165,3 +165,16 @@ def test_single_period_stages_in_table_mode(spark, scratch, trips):
     assert a.columns == ["date", "period", "total_trips"]
     assert sorted((str(r.date), r.total_trips) for r in a.collect()) == [
         ("2025-01-01", 2), ("2025-01-31", 1)]
+
+
+def test_rows_keep_their_input_order(spark, scratch):
+    """Through an exchange as well, in path and table mode, and with bounded files."""
+    rows = spark.range(2000).select(F.expr("timestamp_ntz'2025-01-01' + make_interval(0, 0, 0, id % 28)").alias("ts"), (F.lit(5000) - F.col("id")).alias("id"))
+    rows.coalesce(1).write.parquet(f"{scratch}/land/t_2025-01")
+    for storage in (Storage(root=f"{scratch}/a", keep_order=True), Storage(root=f"{scratch}/b", keep_order=True, rebalance=True, max_records_per_file=300),
+                    Storage(namespace=unique_name("ord"), location=f"{scratch}/wh", keep_order=True, rebalance=True)):
+        clean_all(spark, f"{scratch}/land", "ts", storage, "t")
+        df = read_stage(spark, storage, "t", "clean")
+        assert set(df.columns) == {"ts", "id", "period"}
+        held = df.select("id", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).orderBy("f", "i").collect()
+        assert len(held) == 2000 and all(a.id > b.id for a, b in zip(held, held[1:]) if a.f == b.f)
