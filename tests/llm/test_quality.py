@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from period_etl.llm import quality, textnp
 from tests.llm.conftest import prose, rows
@@ -55,6 +56,32 @@ def test_held_out_documents_are_told_apart(spark, labelled):
     assert {r.doc_id for r in quality.keep_quality(frame, field).collect()} == kept
 
 
+def table_line(seed):
+    return " | ".join(prose(seed, 12).split())
+
+
+def test_lines_of_one_document_differ(spark, labelled):
+    """Bad documents that hold prose too: their lines get labels of their own, in training and after it."""
+    docs, labels = labelled
+    mixed = [(3000 + i, "\n".join([" ".join(prose(3000 + i, 40).split())] + [table_line(9000 + 20 * i + j) for j in range(12)]), 0) for i in range(20)]
+    docs = docs.unionByName(spark.createDataFrame([(d, t) for d, t, _ in mixed], "doc_id long, text string"))
+    labels = labels.unionByName(spark.createDataFrame([(d, q) for d, _, q in mixed], "doc_id long, quality int"))
+    field = quality.fit_line_field(docs, labels)
+    unseen = []
+    for i, (n_prose, n_table) in enumerate([(6, 2), (4, 4), (2, 6), (5, 3)] * 5):   # lines of about 12 words each
+        body = [" ".join(prose(7000 + 10 * i + j, 12).split()) for j in range(n_prose)]
+        unseen.append((i, "\n".join(body + [table_line(8000 + 10 * i + j) for j in range(n_table)]), n_prose, n_table))
+    frame = spark.createDataFrame([r[:2] for r in unseen], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.quality_rules(frame, field).collect()}
+    marked = quality.label_lines(frame, field).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("begin", "content"))).alias("lines")).collect()
+    right = sum([x.content for x in r.lines] == [True] * unseen[r.doc_id][2] + [False] * unseen[r.doc_id][3] for r in marked)
+    assert right >= 18
+    shares = {i: r.content_words / r.n_words for i, r in got.items()}
+    assert all(0 < s < 1 for s in shares.values())
+    assert any(got[i].kept for i in got) and any(not got[i].kept and not got[i].base_failed for i in got)
+    assert all(got[i].kept == (100 * got[i].content_words >= 60 * got[i].n_words) for i in got if not got[i].base_failed)
+
+
 def test_without_labels_the_counts_decide(docs, spark, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     for d, labels in ((docs, none), (no_docs, none)):
