@@ -10,6 +10,14 @@ A document is dropped if the quality rules reject it, if it is not the first
 of its group of near copies (five-word shingles, similarity 0.8), or if it
 holds a benchmark item. The last stage gives doc_id, n_tokens, ids_sha256 and
 decoded_sha256 of the documents that are left.
+
+Rows: null and empty texts have no words and go with the first stage, as do
+texts of fewer than 50 words. Very long texts are treated whole. Rows that are
+equal in text are near copies: the one of the least doc_id stays, of rows that
+repeat a doc_id and a text any one. Columns other than doc_id and
+text pass through unread, whatever their names. Empty tables of documents,
+labels or benchmark items give an empty result, or leave their stage without
+effect.
 """
 
 from __future__ import annotations
