@@ -3,17 +3,20 @@
 A page is cut into blocks at block-level tags. Blocks in menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments (by tag name, role
 or the words of class and id), scripts and styles are no candidates for the
-main text. A page with an article or main element has its main text there.
-Another page is paired with its neighbour in the order of URL
+main text. Every page is paired with its neighbour in the order of URL
 paths within its host, the blocks of the two are aligned as lines by their
-longest common subsequence, and lines that both share are deleted. In an
-article or main element nothing is deleted, so that mirrors of an article and
-passages that many articles quote keep their text.
+longest common subsequence, and lines that both share are deleted, as are the
+blocks named above. An article or main element protects: its lines stay also
+if they are shared, so that mirrors of an article and passages that many
+articles quote keep their text. A page without a neighbour has nothing to be
+compared with; if it has an article or main element, its text is that. In a
+page without one, differing in no line from its neighbour tells nothing, and
+nothing is deleted but the blocks named above.
 
 The neighbour is the page before in the order (host, path, rest of the URL,
-page id), and the first page of a host takes the one after it; a page alone on
-its host has none. Pages that are equal in id, URL and text count as one in
-this order. Each row gives one row.
+page id) or, where that is of another host or has the same lines, the page after;
+a page between two with its own lines, or alone on its host, has none. Pages that
+are equal in id, URL and text count as one in this order. Each row gives one row.
 
 Rows: null html is an empty page with empty text; a null or unparsable URL is
 the host "" with the URL as path; ids may be null. Character references are
@@ -51,6 +54,11 @@ _MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "ban
           "notice", "notices", "pagination", "popup", "promo", "related", "share", "sharing", "sidebar", "signup", "social", "sponsor",
           "sponsored", "subscribe", "toolbar"}
 _NOT = {"no", "not", "without", "has", "with"}
+#: Words behind a mark that say that it names a part of the page, not a subject ("share-buttons", not "share-price").
+_PLACES = {"area", "bar", "block", "box", "buttons", "container", "content", "feed", "form", "icons", "item", "items", "link", "links", "list", "module",
+           "panel", "posts", "section", "slot", "stories", "text", "thread", "unit", "widget", "wrap", "wrapper"}
+#: Elements whose text is shown in an article.
+_SHOWN = {"math", "noscript", "object"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset",
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main",
@@ -69,12 +77,22 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
             if key == "role" and value in _ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return True
             if key in ("class", "id") and name not in ("html", "body"):
-                words = _PARTS.split(value)
-                if any(w in _MARKS and (i == 0 or words[i - 1] not in _NOT) and not (inside and w == "header") for i, w in enumerate(words)):
+                if any(_marked(name, inside) for name in value.split()):
                     return True
     return False
 
 
+def _marked(name: str, inside: bool) -> bool:
+    """Whether a class or id marks boilerplate; in an article a mark counts at the name's end or before a place or number only."""
+    words = [w for w in _PARTS.split(name) if w]
+    for i, w in enumerate(words):
+        if w in _MARKS and (i == 0 or words[i - 1] not in _NOT):
+            rest = words[i + 1] if i + 1 < len(words) else ""
+            if not inside or w != "header" and (not rest or rest in _PLACES or rest in _MARKS or rest.isdigit()):
+                return True
+    return False
+
+
 def blocks(page: str) -> Iterator[tuple[str, bool, bool]]:
     """(text, is boilerplate, is inside an article or main element) of each block in page order."""
     stack: list[tuple[str, bool, bool]] = []
@@ -93,7 +111,7 @@ def blocks(page: str) -> Iterator[tuple[str, bool, bool]]:
         last = end
         if not name:
             continue
-        if not closes and name in _RAW:
+        if not closes and name in _RAW and not (inside and name in _SHOWN):
             _, close = markup.close(name, end)
             if close >= 0 or name in ("script", "style"):
                 markup.at = last = close if close >= 0 else len(page)
@@ -182,12 +200,15 @@ def shared(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def main_text(page: str, mate: np.ndarray) -> str:
-    """The page's main text; ``mate`` holds the line hashes of its neighbour."""
+    """The page's main text; ``mate`` holds the line hashes of its neighbour, none without one."""
     found = list(blocks(page))
-    if any(inside and not bad for _, bad, inside in found):
-        return "\n\n".join(t for t, bad, inside in found if inside and not bad)
-    again = shared(line_hashes(found), mate) if len(mate) else np.zeros(len(found), bool)
-    return "\n\n".join(t for (t, bad, _), s in zip(found, again.tolist(), strict=True) if not bad and not s)
+    article = any(inside and not bad for _, bad, inside in found)
+    if len(mate):
+        again = shared(line_hashes(found), mate)
+        if not article and all(s or bad for (_, bad, _), s in zip(found, again.tolist(), strict=True)):
+            again[:] = False
+        return "\n\n".join(t for (t, bad, inside), s in zip(found, again.tolist(), strict=True) if not bad and (inside or not s))
+    return "\n\n".join(t for t, bad, inside in found if not bad and (inside or not article))
 
 
 def line_hashes(found: list[tuple[str, bool, bool]]) -> np.ndarray:
@@ -213,6 +234,8 @@ def _texts(batches):
 def neighbours(lines: DataFrame) -> DataFrame:
     """(k1, k2, mate): the lines of each page's neighbour in (host, path, url, page_id) order, null without one.
 
+    A neighbour with the page's own lines is none.
+
     Neighbours in one range partition are found there. Across partitions only
     the first and the last page of each goes through the driver.
     """
@@ -228,7 +251,10 @@ def neighbours(lines: DataFrame) -> DataFrame:
     line = Window.partitionBy("_part").orderBy("_row")
     both = (seats.withColumns({"p": F.lag(row).over(line), "l": F.lead(row).over(line)}).join(F.broadcast(edge), ["_part", "_row"], "left")
             .withColumns({"p": F.coalesce("p", "prior"), "l": F.coalesce("l", "later")}))
-    mate = F.when(F.col("p.host") == F.col("host"), F.col("p.lines")).when(F.col("l.host") == F.col("host"), F.col("l.lines"))
+    def other(side):
+        return (F.col(f"{side}.host") == F.col("host")) & (F.col(f"{side}.lines") != F.col("lines"))
+
+    mate = F.when(other("p"), F.col("p.lines")).when(other("l"), F.col("l.lines"))
     return both.select("k1", "k2", mate.alias("mate"))
 
 

@@ -31,6 +31,8 @@ def text_of(page):
     (body("<div class='no-sidebar'><p>kept</p></div><p hidden>gone</p>"), "kept"),
     ("<article><p>never closed <i>at all", "never closed at all"), ("a < b and c > d", "a < b and c > d"),
     (body("<header>top</header><article><header><h1>Title</h1></header><p>t</p></article>"), "Title\n\nt"),
+    (body("<article><p class='notice-period'>a</p><p id=share-price>b</p><p class='x related-posts'>no</p><p class=ad1>no</p><p class='lead ad'>no</p>",
+          "<p class=share-buttons>no</p><p class=social-share>no</p><math><mi>c</mi></math> <object>d</object></article><noscript>no</noscript>"), "a\n\nb\n\nc d"),
 ])
 def test_blocks(page, want):
     assert text_of(page or "") == want
@@ -104,6 +106,33 @@ def test_pages_lose_what_they_share_with_their_neighbour(spark):
     assert extract_pages(spark.createDataFrame([], PAGE)).collect() == []
 
 
+def test_template_without_any_mark_goes_by_differencing(spark):
+    """No class, article or other structure: what the pages of a host repeat goes, also where articles only protect."""
+    def page(i, story, tag):
+        menu = "".join(f"<div>item {j}</div>" for j in range(8))
+        return body(f"<div>Site</div>{menu}<{tag}><p>story {i}</p>", "".join(f"<p>{t}</p>" for t in story), f"</{tag}><div>Read next</div><div>by the site</div>")
+
+    stories = [[f"line {i} {j}" for j in range(i % 5 + 1)] for i in range(20)]
+    for tag in ("div", "article"):
+        made = [(i, f"https://h.example/{i:02}", page(i, s, tag)) for i, s in enumerate(stories)]
+        got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(made, PAGE)).collect()}
+        assert got == {i: "\n\n".join([f"story {i}", *s]) for i, s in enumerate(stories)}
+    # lines outside an article that the neighbour lacks stay, those it has go; without a neighbour the article alone is the text
+    one, two = (body(f"<div>Site</div><div>By {n}</div><article><p>story</p></article>") for n in "ab")
+    got = extract_pages(spark.createDataFrame([(1, "https://h.example/1", one), (2, "https://h.example/2", two), (3, "https://i.example/", one)], PAGE))
+    assert {r.page_id: r.text for r in got.collect()} == {1: "By a\n\nstory", 2: "By b\n\nstory", 3: "story"}
+
+
+def test_mirrors_tell_nothing(spark):
+    """Copies of a page at other URLs are no neighbours; a page all of whose lines stand in its neighbour keeps them."""
+    a, b = (body(f"<div>Site</div><p>{t}</p>") for t in ("one", "two"))
+    made = [(1, "https://h.example/1", a), (2, "https://h.example/1?p=2", a), (3, "https://h.example/2", b), (4, "https://i.example/1", a),
+            (5, "https://i.example/2", a), (6, "https://j.example/1", a), (7, "https://j.example/2", body("<div>Site</div><p>one</p><p>more</p>"))]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(made, PAGE)).collect()}
+    whole = "Site\n\none"
+    assert got == {1: whole, 2: "one", 3: "two", 4: whole, 5: whole, 6: whole, 7: "more"}
+
+
 def test_neighbour_is_the_page_before(spark):
     lines = [(i, i, "h", f"/{i:02}", "", i, [i]) for i in range(40)] + [(99, 99, "z", "/", "", 99, [99])]
     frame = spark.createDataFrame(lines, "k1 long, k2 long, host string, path string, url string, page_id long, lines array<long>").repartition(5)
