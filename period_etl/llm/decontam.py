@@ -2,11 +2,13 @@
 
 Every benchmark item is compared with windows of its own length in words. A
 window's fingerprint is the 64-bit SimHash of its words. The fingerprints are
-cut into RADIUS + 1 blocks: two that differ in at most RADIUS bits agree in
-one block at least, so the join on (length, block, its bits) finds all pairs
-within the radius. A window that shares one of an item's rare shingles is paired
-with it too, whatever their distance (see ``_with_rare``). All pairs are verified
-exactly: the multiset Jaccard similarity of the 5-word shingles, each weighted
+cut into RADIUS + 1 = 4 blocks of 16 bits: two that differ in at most RADIUS bits
+agree in one block at least, so the join on (length, block, its bits) finds all
+pairs within the radius, and of two unlike fingerprints one pair in 16,000 meets
+in a block. A window that shares one of an item's rare shingles is paired
+with it too, whatever their distance (see ``_with_rare``). Pairs are made of row
+numbers and fingerprints; shingles are fetched for those that are left, and all
+are verified exactly: the multiset Jaccard similarity of the 5-word shingles, each weighted
 by how often it occurs (sum of least over sum of greatest counts), must reach
 ``percent``. Windows are laid around anchors (see native): where the document
 and the item of some length share a shingle, at the item's offset;
@@ -14,10 +16,10 @@ where that sticks out of the text (an item cut off by the text's beginning or
 end), at the text's first or last place. Texts shorter than an item have none.
 
 At similarity 0.8 a window may differ in a ninth of its shingles, at its end in
-1 word of 15, 4 of 40, 6 of 59 and 21 of 200. Of 4,000 such pairs of distinct
-random words each, 0.1, 1.0, 1.5 and 1.6 percent lie further apart than 15 bits
-(mean 6.8, 8.8, 9.1 and 9.4). These are found by their rare shingles, so no
-pair at the threshold is missed.
+1 word of 15, 4 of 40, 6 of 59 and 21 of 200, and most such pairs lie further apart
+than RADIUS bits (of 4,000 of distinct random words each the mean is 6.8, 8.8, 9.1
+and 9.4). These are found by their rare shingles, so no pair at the threshold is
+missed; copies and windows with little changed are found by their fingerprints.
 
 Rows: null and empty documents and items match nothing. An item of fewer than
 k words is one shingle. Rows with the same id and text are one document; each
@@ -34,7 +36,7 @@ from period_etl.llm.common import stored
 from period_etl.llm.native import anchors, bit_sum, bounded, shingle_array, word_array
 from period_etl.session import unique_name
 
-RADIUS = 15
+RADIUS = 3
 BLOCK_BITS = 64 // (RADIUS + 1)
 
 
@@ -67,6 +69,19 @@ def _with_rare(items: DataFrame, percent: int) -> DataFrame:
     return items.join(ranked.select("row", F.array_distinct(F.slice(F.col("s.g"), F.lit(1), n - held + 1)).alias("rare")), "row")
 
 
+def candidates(prints: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
+    """(print, row, distance), each pair once: windows and items of one length whose fingerprints differ in RADIUS bits at
+    most, or that share one of the item's rare shingles. ``prints`` has print, n_words, shingles, fp; ``items`` row, n_words,
+    item_shingles, item_fp."""
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
+    blocked = prints.select("print", "n_words", "fp", F.explode(_blocks(F.col("fp"))).alias("block"))
+    index = items.select("row", "n_words", "item_fp", F.explode(_blocks(F.col("item_fp"))).alias("block"))
+    near = blocked.join(bounded(index), ["n_words", "block"]).select("print", "row", distance).where(F.col("distance") <= RADIUS)
+    rare = stored(_with_rare(items, percent).select("row", "n_words", "item_fp", F.explode("rare").alias("g")), "decon-rare")
+    held = prints.select("print", "n_words", "fp", F.explode(F.array_distinct("shingles")).alias("g"))
+    return near.union(held.join(bounded(rare), ["n_words", "g"]).select("print", "row", distance)).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_hash, item_id, start, n_words, distance, common, whole): each item found in a document, with its
     most similar window (of equals the first); common / whole is the similarity."""
@@ -84,20 +99,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
            .where("v.start + v.n_words <= size(words)")
            .select("doc_id", "text_hash", "v.start", "v.n_words", F.slice("words", F.col("v.start") + 1, F.col("v.n_words")).alias("w")))
     cut = cut.select("doc_id", "text_hash", "start", "n_words", shingle_array(F.col("w"), k).alias("shingles"), _hashes(F.col("w")).alias("h"))
-    prints = stored(cut.withColumn("fp", bit_sum(F.col("h"))).drop("h"), "decon-prints")
-
-    blocked = prints.select("*", F.explode(_blocks(F.col("fp"))).alias("block"))
-    index = items.select("*", F.explode(_blocks(F.col("item_fp"))).alias("block"))
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = (blocked.join(bounded(index), ["n_words", "block"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
-            # a pair that agrees in several blocks counts at the first of them
-            .where(F.col("block") == F.element_at(F.array_intersect(_blocks(F.col("fp")), _blocks(F.col("item_fp"))), 1)))
-    rare = stored(_with_rare(items, percent).select("*", F.explode("rare").alias("g")), "decon-rare")
-    far = (prints.select("*", F.explode(F.array_distinct("shingles")).alias("g")).join(bounded(rare), ["n_words", "g"])
-           .withColumn("distance", distance).where(F.col("distance") > RADIUS)
-           .where(F.col("g") == F.element_at(F.array_intersect("rare", "shingles"), 1)))
-    pair = ["doc_id", "text_hash", "item_id", "start", "n_words", "distance", "shingles", "item_shingles"]
-    near = near.select(pair).union(far.select(pair))
+    prints = stored(cut.withColumn("fp", bit_sum(F.col("h"))).drop("h").withColumn("print", F.monotonically_increasing_id()), "decon-prints")
+
+    pairs = candidates(prints, items, percent)
+    known = items.select("row", "item_id", "item_shingles")
+    near = (pairs.join(prints.select("print", "doc_id", "text_hash", "start", "n_words", "shingles"), "print")
+            .join(bounded(known, weight=F.size("item_shingles") + 4), "row"))
     mine, its = F.col("shingles"), F.col("item_shingles")
     common = F.aggregate(F.array_intersect(mine, its), F.lit(0), lambda s, g: s + F.least(
         F.size(F.filter(mine, lambda x: x == g)), F.size(F.filter(its, lambda x: x == g))))

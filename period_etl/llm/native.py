@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reference shingles up to this many rows are broadcast (16 bytes each); more are joined by a shuffle.
+#: Reference rows of up to four numbers are broadcast up to this many (about 100 MB); more are joined by a shuffle.
 BROADCAST_SHINGLES = 2_000_000
 _BLANKS = " \t\n\x0b\x0c\r"
 
@@ -40,9 +40,12 @@ def shingle_array(words: Column, k: int) -> Column:
             .otherwise(F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice(words, i, k)))))
 
 
-def bounded(small: DataFrame, limit: int = BROADCAST_SHINGLES) -> DataFrame:
-    """The frame, marked for a broadcast if it has ``limit`` rows at most."""
-    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+def bounded(small: DataFrame, limit: int = BROADCAST_SHINGLES, weight: Column | None = None) -> DataFrame:
+    """The frame, marked for a broadcast if it has ``limit`` rows at most, or rows of ``limit`` times four numbers in all,
+    ``weight`` in each."""
+    if weight is None:
+        return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+    return F.broadcast(small) if (small.agg(F.sum(weight)).first()[0] or 0) <= 4 * limit else small
 
 
 def anchors(keyed: DataFrame, shingles: DataFrame, k: int) -> DataFrame:

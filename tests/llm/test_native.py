@@ -1,10 +1,11 @@
+import random
 from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from period_etl.llm import decontam, licenses, queries
+from period_etl.llm import decontam, licenses, native, queries
 from tests.llm.conftest import WORDS, prose, rows, words
 
 ITEMS = [(1, prose(1, 120)[:200]), (2, prose(3, 30)), (3, None), (4, ""), (5, "one two"), (6, "only here " * 8), (7, prose(3, 30)), (None, prose(77, 25))]
@@ -84,6 +85,30 @@ def test_similar_windows_beyond_the_radius(spark):
     assert all(r.distance > decontam.RADIUS for r in found if r.doc_id >= 1000)
 
 
+def test_few_pairs_are_compared_among_many_items_of_one_length(spark):
+    """10,000 items of 20 words of one vocabulary and 600 windows: six million pairs, of which few are candidates."""
+    r = random.Random(11)
+    items = [(i, " ".join(f"w{r.randint(0, 999)}" for _ in range(20))) for i in range(10_000)]
+    data = [(i, " ".join(["before", *items[i * 10][1].split()[:-(i % 3) or None], "last", "words"])) for i in range(200)]
+    index = decontam.benchmark_items(spark.createDataFrame(items, "item_id long, text string"), 5).withColumnRenamed("item_id", "row")
+    cut = [(3 * i + j, " ".join(t.split()[j:j + 20])) for i, t in data for j in range(3)]
+    prints = decontam.benchmark_items(spark.createDataFrame(cut, "item_id long, text string"), 5).toDF("print", "n_words", "shingles", "fp")
+    pairs = decontam.candidates(prints, index)
+    assert pairs.count() == pairs.distinct().count() < 3_000
+    met = (prints.select("n_words", F.explode(decontam._blocks(F.col("fp"))).alias("block"))
+           .join(index.select("n_words", F.explode(decontam._blocks(F.col("item_fp"))).alias("block")), ["n_words", "block"]))
+    assert met.count() < len(items) * prints.count() / 1_000
+    found = {(x.doc_id, x.item_id) for x in decontam.leaks(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(
+        items, "item_id long, text string")).collect()}
+    assert found == {(i, i * 10) for i in range(200) if i % 3 != 2}   # two words less of 20: below 80 percent
+
+
+def test_the_index_may_outgrow_a_broadcast(tables, monkeypatch):
+    want = sorted(map(tuple, decontam.leaks(*tables).collect()), key=str)
+    monkeypatch.setattr(native.bounded, "__defaults__", (0, None))
+    assert sorted(map(tuple, decontam.leaks(*tables).collect()), key=str) == want
+
+
 def test_without_leaks_keeps_clean_rows(tables):
     docs, items = tables
     left = decontam.without_leaks(docs, items)
