@@ -1,4 +1,5 @@
 import base64
+import codecs
 import hashlib
 import html
 import random
@@ -196,6 +197,42 @@ def test_metadata_keeps_all_source_headers(spark):
     assert "source-status-line: HTTP/1.1 404 Not  Here" in got["<urn:uuid:1>"] and "http-status: 404" in got["<urn:uuid:1>"]
 
 
+def test_bodies_are_bytes_and_source_digests_are_carried(spark):
+    latin = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n"
+    caf = "<p>caf\xe9 \u20ac</p>".encode("cp1252")
+    block = (latin + "\r\n").encode() + caf
+    hexed = "sha256:" + hashlib.sha256(caf).hexdigest().upper()
+    cases = [   # headers, body, WARC headers, text, digest_check, payload_digest
+        (latin, caf, f"WARC-Payload-Digest: {hexed}\r\nwarc-block-digest: {sha1(block)}\r\n", "caf\xe9 \u20ac", "match", hexed),
+        (latin, caf, f"WARC-Payload-Digest: {hexed}\r\nWARC-Block-Digest: {sha1(caf)}", "caf\xe9 \u20ac", "mismatch", hexed),
+        (latin, caf, "WARC-Payload-Digest: blake9:00", "caf\xe9 \u20ac", "unchecked", "blake9:00"),
+        ("HTTP/1.1 200 OK", b"<meta charset='koi8-r'><p>" + "\u043c\u0438\u0440".encode("koi8-r"), None, "\u043c\u0438\u0440", "none", None),
+        (None, codecs.BOM_UTF16_LE + "<p>x\u00e9".encode("utf-16-le"), "", "x\u00e9", "none", None),
+        ("HTTP/1.1 200 OK\r\nContent-Type: text/plain; charset=hex", b"a\xff", "WARC-Type: response", "a\ufffd", "none", None),
+        ("HTTP/1.1 200 OK\r\nContent-Type: image/png", bytes(range(256)), "WARC-Payload-Digest: " + sha1(bytes(range(256))), "", "match", sha1(bytes(range(256)))),
+        (None, None, "WARC-Payload-Digest: " + sha1(b""), "", "match", sha1(b"")),
+    ]
+    schema = "record_id string, target_uri string, date string, http_headers string, body binary, warc_headers string"
+    frame = spark.createDataFrame([(f"<urn:uuid:{i}>", "u", "d", h, b, w) for i, (h, b, w, *_) in enumerate(cases)], schema)
+    got = {(r.refers_to, r.type): r for r in warc.build_derivatives(frame).collect()}
+    for i, (_, data, given, text, check, payload) in enumerate(cases):
+        meta, plain = got[f"<urn:uuid:{i}>", "metadata"], got[f"<urn:uuid:{i}>", "conversion"]
+        assert plain.block == text and meta.digest_check == plain.digest_check == check, i
+        assert meta.payload_digest == plain.payload_digest == (payload or sha1(data or b""))
+        fields = meta.block.split("\r\n")
+        assert [f[20:] for f in fields if f.startswith("source-warc-header: ")] == [x for x in (given or "").split("\r\n") if x]
+        assert f"source-payload-length: {len(data or b'')}" in fields
+        assert "WARC-Refers-To-Target-URI: u\r\n" in meta.headers and "WARC-Refers-To-Date: d\r\n" in plain.headers
+    assert {"payload-digest-check: match", "block-digest-check: mismatch"} <= set(got["<urn:uuid:1>", "metadata"].block.split("\r\n"))
+    as_text = frame.where("http_headers is null").withColumn("body", F.col("body").cast("string")).drop("warc_headers")
+    assert warc.build_derivatives(as_text).count() == 4
+
+
+def test_bytes_alike_but_for_what_is_not_utf8_keep_ids_apart(spark):
+    frame = spark.createDataFrame([(None, "u", "d", None, b"\xfe"), (None, "u", "d", None, b"\xfd")], RESPONSE.replace("body string", "body binary"))
+    assert len({r.record_id for r in warc.build_derivatives(frame).collect()}) == 4
+
+
 def test_record_bytes_parse_back(spark):
     records = warc.build_derivatives(spark.createDataFrame(RESPONSES, RESPONSE))
     for r in warc.record_bytes(records).collect():
@@ -213,3 +250,4 @@ def test_page_responses(spark):
     pages = spark.createDataFrame([(1, "u", "<p>é</p>"), (1, "u", "<p>é</p>"), (2, None, None)], PAGE)
     got = warc.page_responses(pages, "2024-01-01T00:00:00Z").collect()
     assert len({r.record_id for r in got}) == 2 and "Content-Length: 9" in got[0].http_headers
+    assert {r.digest_check for r in warc.build_derivatives(warc.page_responses(pages, "2024-01-01T00:00:00Z")).collect()} == {"match"}
