@@ -3,14 +3,23 @@
 Words are runs of a-z and 0-9 in lower case, shingles are k = 3 of them. A
 template of m words belongs to the class c, the least power of two of at least
 m (4 or more). Documents are cut into windows of 2c words, c words apart, so
-that each run of c words lies whole in a window. Only windows with an anchor
-(see native) are looked at; the others contain nothing of a template. Each
-window and template gets BANDS MinHash values (bands of one row); those that
-agree in a band, within a class, are verified exactly: the share of the
-template's distinct shingles that the window holds must reach ``percent``.
-
-A template that a window holds whole has a Jaccard similarity with it of a
-seventh or more, and meets it in one of 64 bands with probability 0.99995.
+that each run of c words lies whole in a window. A window that holds
+``percent`` of a template's n distinct shingles lacks n * (100 - percent) / 100
+of them at most, so it holds one of any set of one more: the template's
+longest ones (most letters, the rarest as a rule) are its anchors, and only
+windows with an anchor are looked at (see native). Each window and template
+gets BANDS MinHash values (bands of one row); those that agree in a band,
+within a class, are verified exactly: the share of the template's distinct
+shingles that the window holds must reach ``percent``.
+
+A template that a window holds to 80 percent has a Jaccard similarity with it of
+0.19 or more, and meets it in one of 64 bands with probability 0.999998.
+
+``templates`` are the short notices, one line ``SPDX-License-Identifier: ..`` for
+each of SPDX_IDS (reported as SPDX-..) and the whole texts of license_texts/
+(reported as ..-text). Licenses that share most of their words are reported
+together, each with its own share: a text of BSD-3-Clause holds BSD-2-Clause
+whole, one of AGPL-3.0 holds most of GPL-3.0.
 
 Rows: null and empty documents hold nothing. A template without a shingle of
 its own (fewer than three words) is one shingle of all its words; one without
@@ -20,6 +29,8 @@ may be null. All work on documents is DataFrame expressions.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +55,40 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "rights-reserved": "All rights reserved.",
 }
+#: Identifiers of the SPDX list that get a template line of their own (fixed values).
+SPDX_IDS = ("0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0",
+            "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later",
+            "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib")
+_TEXTS = Path(__file__).with_name("license_texts")
+
+
+def known_texts() -> dict[str, str]:
+    """All templates of the scan by name: notices, SPDX lines and whole license texts."""
+    lines = {f"SPDX-{x}": f"SPDX-License-Identifier: {x}" for x in SPDX_IDS}
+    whole = {f"{file.stem}-text": file.read_text() for file in _TEXTS.glob("*.txt")}
+    return dict(sorted({**NOTICES, **lines, **whole}.items()))
 
 
 def notices(spark: SparkSession) -> DataFrame:
+    """The short notices alone."""
     return spark.createDataFrame(sorted(NOTICES.items()), "license string, text string")
 
 
+def known_licenses(spark: SparkSession) -> DataFrame:
+    """The templates of known_texts, about 60 rows and 140 KB."""
+    return spark.createDataFrame(list(known_texts().items()), "license string, text string")
+
+
+def _rarest(words: Column, percent: int) -> Column:
+    """The hashes of the longest of a text's distinct shingles: so many that a window with ``percent`` of all has one."""
+    n = F.size(words)
+    at = F.when(n <= K, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), n - (K - 1)))
+    each = F.array_distinct(F.transform(at, lambda i: F.struct(F.length(F.array_join(F.slice(words, i, K), "")).alias("length"),
+                                                               F.xxhash64(F.slice(words, i, K)).alias("g"))))
+    most = F.floor(F.size(each) * (100 - percent) / 100) + 1
+    return F.slice(F.transform(F.sort_array(each, asc=False), lambda x: x["g"]), 1, most.cast("int"))
+
+
 def _signature(shingles: Column) -> Column:
     """The least hash under each of BANDS hash functions, with the band's number mixed in."""
     return F.array(*[F.xxhash64(_least(shingles, b), F.lit(b)) for b in range(BANDS)])
@@ -64,11 +103,11 @@ def license_scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id",
     window that holds most of it, of equals the first; common of the template's total shingles are in it."""
     spelt = templates.select("license", word_array(F.col("text"), _BETWEEN).alias("w")).where("size(w) > 0")
     size = F.greatest(F.lit(LEAST_CLASS), F.pow(2, F.ceil(F.log2(F.size("w")))).cast("int"))
-    known = spelt.select("license", size.alias("c"), F.array_distinct(shingle_array(F.col("w"), K)).alias("t"))
+    known = spelt.select("license", size.alias("c"), F.array_distinct(shingle_array(F.col("w"), K)).alias("t"), _rarest(F.col("w"), percent).alias("rare"))
     known = stored(known.withColumn("bands", _signature(F.col("t"))), "license-templates")
 
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    places = known.select("c", F.explode("t").alias("g")).distinct()
+    places = known.select("c", F.explode("rare").alias("g")).distinct()
     at = F.floor(F.col("pos") / F.col("c")) * F.col("c")
     found = anchors(keyed.withColumn("words", word_array(F.col("text"), _BETWEEN)).drop("text"), places, K)
     found = (found.select("doc_id", "text_hash", "c", "pos", F.explode(F.array(at, at - F.col("c"))).alias("start"))
@@ -82,8 +121,10 @@ def license_scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id",
            .select("doc_id", "text_hash", "start", "c", F.size("w").alias("n_words"), shingle_array(F.col("w"), K).alias("shingles")))
     cut = stored(cut.withColumn("bands", _signature(F.col("shingles"))), "license-prints")
 
-    index = known.select("license", "c", "t", F.col("bands").alias("its"), F.explode("bands").alias("band"))
+    index = known.select("license", "c", F.explode("bands").alias("band"))
+    its = known.select("license", "t", F.col("bands").alias("its"))
     near = (cut.select("*", F.explode("bands").alias("band")).join(bounded(index), ["c", "band"])
+            .join(bounded(its, weight=F.size("t") + BANDS), "license")
             # a pair that meets in several bands counts at the first of them
             .where(F.col("band") == F.element_at(F.array_intersect("bands", "its"), 1)))
     common = F.size(F.array_intersect("t", "shingles"))

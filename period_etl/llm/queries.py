@@ -13,7 +13,7 @@ from period_etl.llm.bpe import bpe_digest
 from period_etl.llm.common import table
 from period_etl.llm.decontam import leaks
 from period_etl.llm.html_text import extract_pages
-from period_etl.llm.licenses import LEAST_CLASS, NOTICES, K, license_scan, notices
+from period_etl.llm.licenses import LEAST_CLASS, K, known_licenses, known_texts, license_scan
 from period_etl.llm.merkle import build, document_leaves, verify
 from period_etl.llm.near_dup import near_duplicates
 from period_etl.llm.packing import pack_documents
@@ -73,7 +73,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan(table(spark, sf_dir, "documents"), notices(spark))
+    found = license_scan(table(spark, sf_dir, "documents"), known_licenses(spark))
     return found.select("doc_id", "license", "start", "n_words", "common", "total")
 
 
@@ -115,7 +115,7 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, doc_id = m.c
 FROM documents JOIN m ON m.id = doc_id LEFT JOIN n USING (doc_id)
 """
 
-_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(NOTICES.items()))
+_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in known_texts().items())
 _ALNUM = "regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')"
 
 

@@ -140,12 +140,15 @@ NOTICE_DOCS = [
     (5, "This work is licensed under the GNU General Public License version 3"), (6, prose(3, 80)),
     (7, " ".join(WORDS * 3) + " Licensed under the Apache License, Version 2.0. All rights reserved."), (8, "released under the BSD license"),
     (None, "Licensed under CC BY-NC 4.0."), (2, "RELEASED under the MIT license"), (9, licenses.NOTICES["GPL-3.0-or-later"].replace("Free Software Foundation", "FSF")),
-    (10, "word " * 2000 + licenses.NOTICES["MIT-grant"]), (11, "MIT"), (12, licenses.NOTICES["Apache-2.0-header"])]
+    (10, "word " * 2000 + licenses.NOTICES["MIT-grant"]), (11, "MIT"), (12, licenses.NOTICES["Apache-2.0-header"]),
+    (13, "# SPDX-License-Identifier: MIT\n" + prose(5, 40)), (14, "// spdx-license-identifier: GPL-3.0-or-later"), (15, "SPDX-License-Identifier: GPL-3.0-only"),
+    (16, prose(6, 700) + "\n" + licenses.known_texts()["MPL-2.0-text"] + prose(7, 900)), (17, "Copyright (c) 2020 A. Person\n" + licenses.known_texts()["BSD-3-Clause-text"]),
+    (18, licenses.known_texts()["MIT-text"].replace("Software", "Program")), (19, "\n".join(licenses.known_texts()["Zlib-text"].split("\n")[:4]))]
 
 
 def test_licenses_equal_sql_on_all_windows(spark):
     docs = spark.createDataFrame(NOTICE_DOCS, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("c", "t", "w", "band", "license")})
-    got = {(r.doc_id, r.license, r.start, r.n_words, r.common, r.total) for r in licenses.license_scan(docs, licenses.notices(spark)).collect()}
+    got = {(r.doc_id, r.license, r.start, r.n_words, r.common, r.total) for r in licenses.license_scan(docs, licenses.known_licenses(spark)).collect()}
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", [d for d in dict.fromkeys(NOTICE_DOCS)])
@@ -154,5 +157,25 @@ def test_licenses_equal_sql_on_all_windows(spark):
     # the query's SQL has a document by its id; the row without one stands for itself here
     assert got == want
     assert {(d, x) for d, x, *_ in got} >= {(1, "MIT"), (2, "MIT"), (5, "GPL-3.0"), (7, "Apache-2.0"), (7, "rights-reserved"), (None, "CC-BY-NC-4.0"),
-                                           (9, "GPL-3.0-or-later"), (10, "MIT-grant"), (12, "Apache-2.0-header")}
-    assert not {d for d, *_ in got} & {3, 4, 6, 8, 11}
+                                           (9, "GPL-3.0-or-later"), (10, "MIT-grant"), (12, "Apache-2.0-header"), (13, "SPDX-MIT"),
+                                           (14, "SPDX-GPL-3.0-or-later"), (15, "SPDX-GPL-3.0-only"), (16, "MPL-2.0-text"), (17, "BSD-3-Clause-text"), (17, "BSD-2-Clause-text")}
+    assert {x for d, x, *_ in got if d in (13, 14, 15)} == {"SPDX-MIT", "SPDX-GPL-3.0-or-later", "SPDX-GPL-3.0-only"}
+    assert not {d for d, *_ in got} & {3, 4, 6, 8, 11, 19}
+
+
+def test_windows_that_hold_enough_have_an_anchor(spark):
+    text = licenses.known_texts()["Apache-2.0-text"]
+    words = spark.createDataFrame([(text,)], "text string").select(native.word_array(F.col("text"), licenses._BETWEEN).alias("w"))
+    for percent in (1, 50, 80, 99, 100):
+        r = words.select(F.array_distinct(native.shingle_array(F.col("w"), licenses.K)).alias("t"), licenses._rarest(F.col("w"), percent).alias("rare")).first()
+        need = -(-len(r.t) * percent // 100)   # the least count that reaches the share
+        assert set(r.rare) <= set(r.t) and len(set(r.rare)) == len(r.rare) > len(r.t) - need
+
+
+def test_each_license_text_is_found_in_itself(spark):
+    texts = licenses.known_texts()
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.common, r.total) for r in licenses.license_scan(docs, licenses.known_licenses(spark)).collect()}
+    for i, name in enumerate(texts):
+        common, total = got[i, name]
+        assert common == total
