@@ -430,6 +430,29 @@ def q35_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.agg(F.sum("n").alias("n_rows"), F.sum("up").alias("out_of_order"), F.count_if(F.col("turns") > 1).alias("mixed_files"))
 
 
+def q36_recorded_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years before 1996 with 32-bit customers, then the others with a fee, read back by the schemas recorded beside the data."""
+    base = scratch_dir(spark, "q36")
+    orders = scan_parquet(spark, _t(sf_dir, "orders"))
+    storage = Storage(root=f"{base}/out", record_schemas=True)
+    late = shifted_period(F.col("o_orderdate")) >= "1996-01"
+    for name, rows in (("early", orders.where(~late).withColumn("o_custkey", F.col("o_custkey").cast("int"))),
+                       ("late", orders.where(late).withColumn("fee", F.col("o_orderkey") % 10))):
+        clean_all(spark, make_landing(rows, "o_orderdate", f"{base}/{name}", "orders"), "o_orderdate", storage, "orders")
+    return read_stage(spark, storage, "orders", "clean").select(*orders.columns, "fee", "period")
+
+
+def q37_from_min_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, then March 1996 appended again with the counts of all periods from there on: these have two rows a day."""
+    base, land = _landing(spark, sf_dir, "q37")
+    storage = Storage(root=f"{base}/out")
+    run_all(spark, land, "o_orderdate", storage, "orders", mode="append")
+    march = [e for e in list_entry_names(spark, land) if "1996-03" in e]
+    run_all(spark, land, "o_orderdate", storage, "orders", mode="append", entries=march, from_min=True)
+    return read_stage(spark, storage, "orders", "analytics")
+
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_parquet_scan": q01_parquet_scan,
     "q02_clean_one_period": q02_clean_one_period,
@@ -466,6 +489,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q33_byte_bounded_files": q33_byte_bounded_files,
     "q34_swapped_periods": q34_swapped_periods,
     "q35_input_order": q35_input_order,
+    "q36_recorded_schemas": q36_recorded_schemas,
+    "q37_from_min_appended": q37_from_min_appended,
 }
 
 # --- oracles --------------------------------------------------------------
@@ -530,6 +555,11 @@ _ORACLE = {
     "q34_swapped_periods": (
         f"SELECT date, period, total_trips * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS total_trips FROM ({_DAILY})"),
     "q35_input_order": f"SELECT count(*) AS n_rows, 0 AS out_of_order, 0 AS mixed_files FROM orders WHERE {_M} = {_N}",
+    "q36_recorded_schemas": (
+        f"SELECT *, CASE WHEN {_N} >= '1996-01' THEN o_orderkey % 10 END AS fee, {_M} AS period FROM orders WHERE {_M} = {_N}"),
+    "q37_from_min_appended": (
+        f"{_DAILY} UNION ALL SELECT date, period, total_trips * CASE WHEN period = '1996-03' THEN 2 ELSE 1 END AS total_trips FROM ({_DAILY}) "
+        "WHERE period >= '1996-03'"),
     "q28_last_entry_wins": f"{_Q04} AND ({_M} <> '1996-03' OR o_orderkey % 2 = 0)",
 }
 

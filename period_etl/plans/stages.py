@@ -44,6 +44,7 @@ from period_etl.sources.parquet import (
     scan_parquet,
     stored_values,
 )
+from period_etl.sources.recorded import record_schema, recorded_schema, records
 from period_etl.sources.tables import attach_table
 
 KEY = PERIOD
@@ -64,6 +65,8 @@ class Storage:
     (``max_records_per_file`` bounds all files in rows). ``swap`` replaces the
     periods of tables all-or-nothing (``swap_partitions``). ``keep_order`` writes
     the rows of each clean file in the order in which they stood in the landing files.
+    ``record_schemas`` (path mode) keeps the schemas of what is written beside it, so
+    that reads need not merge the footers of all files (see ``sources.recorded``).
     """
 
     root: str | None = None
@@ -74,8 +77,11 @@ class Storage:
     max_bytes_per_file: int | None = None
     swap: bool = False
     keep_order: bool = False
+    record_schemas: bool = False
 
     def __post_init__(self):
+        if self.record_schemas and self.root is None:
+            raise ValueError("record_schemas needs a root: a table's schema is in the catalog")
         if self.swap and not (self.namespace and self.location):
             raise ValueError("swap needs a namespace with a location")
         if (self.root is None) == (self.namespace is None):
@@ -128,12 +134,21 @@ def write_stage(df: DataFrame, storage: Storage, data_id: str, stage: str,
         how = "swap_partitions" if storage.swap and mode == "overwrite_partitions" else mode
         report = write_table(df, target, KEY, how, folder=storage.table_folder(data_id, stage), **limits)
     else:
+        if storage.record_schemas:
+            _record(spark, df, target, order_by)
         report = write_partitioned(df, target, KEY, mode, **limits)
     if run_periods is not None and mode == "overwrite_partitions":
         drop_periods(spark, storage, data_id, stage, set(run_periods) - set(report.keys))
     return report
 
 
+def _record(spark: SparkSession, df: DataFrame, target: str, order_by: Sequence[str]) -> None:
+    """Record the schema of rows that are about to be stored, after that of what was stored before any record."""
+    if not records(spark, target) and partition_values(spark, target, KEY):
+        record_schema(spark, target, read_partitioned(spark, target, KEY).drop(KEY).schema)
+    record_schema(spark, target, df.drop(KEY, *order_by).schema)
+
+
 def drop_periods(spark: SparkSession, storage: Storage, data_id: str, stage: str,
                  periods: Iterable[str]) -> None:
     """Drop a stage's stored rows of the given periods."""
@@ -196,7 +211,8 @@ def read_stage(spark: SparkSession, storage: Storage, data_id: str, stage: str,
         _attach_if_stored(spark, storage, data_id, stage)
         df = key_filter(spark.table(target), KEY, periods)
     else:
-        df = read_partitioned(spark, target, KEY, periods)
+        schema = recorded_schema(spark, target) if storage.record_schemas else None
+        df = read_partitioned(spark, target, KEY, periods, schema=schema and schema.add(KEY, "string"))
     if BATCH in df.columns and (batches := stored_batches(spark, storage, data_id, stage)):
         df = live(df, batches)
         df = summed(df) if stage == ANALYTICS else df.drop(BATCH)

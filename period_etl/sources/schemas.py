@@ -84,14 +84,14 @@ def widened(a: DataType, b: DataType) -> DataType | None:
     return None
 
 
-def _plain(kind: DataType) -> DataType:
+def plain_type(kind: DataType) -> DataType:
     """The type with all parts nullable, so that only real differences count."""
     if isinstance(kind, StructType):
-        return StructType([StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+        return StructType([StructField(f.name, plain_type(f.dataType)) for f in kind.fields])
     if isinstance(kind, ArrayType):
-        return ArrayType(_plain(kind.elementType))
+        return ArrayType(plain_type(kind.elementType))
     if isinstance(kind, MapType):
-        return MapType(_plain(kind.keyType), _plain(kind.valueType))
+        return MapType(plain_type(kind.keyType), plain_type(kind.valueType))
     return kind
 
 
@@ -164,7 +164,7 @@ def resolve(columns: DataFrame, labels: Sequence[str], inexact: bool = False) ->
     schema: dict[str, tuple[str, DataType]] = {}
     loose: dict[str, DataType] = {}
     for row in sorted(kinds, key=lambda r: tuple(r["at"])):
-        label, kind = labels[row["at"]["entry"]], _plain(StructType.fromJson(
+        label, kind = labels[row["at"]["entry"]], plain_type(StructType.fromJson(
             {"type": "struct", "fields": [{"name": "v", "type": json.loads(row["type"]), "nullable": True, "metadata": {}}]})["v"].dataType)
         first, known = schema.get(row["name"], (label, kind))
         both = widened(known, kind)
