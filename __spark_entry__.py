@@ -379,7 +379,7 @@ def q32_changed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q33_byte_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of a month in files of 64 kB at most, give or take a tenth."""
     base = scratch_dir(spark, "q33")
-    scan_parquet(spark, _t(sf_dir, "events")).coalesce(1).write.parquet(f"{base}/landing/events_2024-01")
+    scan_parquet(spark, _t(sf_dir, "events")).write.parquet(f"{base}/landing/events_2024-01")
     storage = Storage(root=f"{base}/out", max_bytes_per_file=64_000)
     clean_all(spark, f"{base}/landing", "ts", storage, "events")
     sizes = file_sizes(spark, [storage.target("events", "clean")]).withColumn("path", F.url_decode("path"))

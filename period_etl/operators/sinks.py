@@ -21,7 +21,10 @@ longer has lose their stored rows too.
 No sink shuffles by default. A clean frame arrives from a scan whose tasks
 each read one landing entry, i.e. one period, so every task writes one file
 into one period directory: file count follows input splits, and a hot period
-is spread over as many tasks as it has splits. ``rebalance=True`` adds one
+is spread over as many tasks as it has splits. No sink sorts by the key either,
+unless rows are wanted in order: a task keeps a file open for each of its first
+OPEN_FILES keys and sorts only what other keys it meets, so a task of one period
+holds no rows, however many it reads. ``rebalance=True`` adds one
 ``REBALANCE(key)`` exchange for inputs whose tasks mix many keys; with AQE on,
 Spark splits skewed keys and merges small ones there.
 """
@@ -43,6 +46,8 @@ from period_etl.sources.parquet import delete_folder, literal_path, partition_va
 from period_etl.sources.tables import sql_text
 
 MODES = ("append", "overwrite_partitions", "overwrite")
+#: Files that a task keeps open, one for each key; each holds a row group of its own in memory.
+OPEN_FILES = 4
 
 
 @dataclass
@@ -158,7 +163,8 @@ def write_partitioned(df: DataFrame, path: str, key: str = PERIOD,
     else:
         obs = Observation()
         df = df.observe(obs, F.count("*").alias("rows"), F.collect_set(key).alias("keys"))
-    _writer(df, key, mode, max_records_per_file).save(path)
+    with _open_files(df.sparkSession, order_by):
+        _writer(df, key, mode, max_records_per_file).save(path)
     return WriteReport(path, True, obs)
 
 
@@ -192,6 +198,11 @@ def _row_bound(spark: SparkSession, rows: int | None):
     return scoped_conf(spark, "spark.sql.files.maxRecordsPerFile", str(int(rows))) if rows else nullcontext()
 
 
+def _open_files(spark: SparkSession, order_by: Sequence[str]):
+    """No sort by the key for one write; rows that are to be stored in order come sorted by it already."""
+    return nullcontext() if order_by else scoped_conf(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+
+
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """K8: create the database if missing (optionally at a shared location)."""
     loc = f" LOCATION {sql_text(location)}" if location else ""
@@ -243,7 +254,7 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
         w = _writer(clean, key, "append", None)
         if folder and not exists:
             w = w.option("path", folder)
-        with _row_bound(spark, max_records_per_file):
+        with _row_bound(spark, max_records_per_file), _open_files(spark, order_by):
             w.saveAsTable(table)
         if not exists and not report.rows:
             spark.sql(f"DROP TABLE {table}")
@@ -258,10 +269,12 @@ def write_table(df: DataFrame, table: str, key: str = PERIOD, mode: str = "appen
             raise ValueError(f"columns {sorted(names)} {what}: {table}")
     if mode == "swap_partitions":
         run = new_run(folder)
-        _writer(clean.select(*cols), key, "append", max_records_per_file).save(run)
+        with _open_files(spark, order_by):
+            _writer(clean.select(*cols), key, "append", max_records_per_file).save(run)
         swap_partitions(spark, table, key, run, report.keys)
         return report
-    overwrite_table_partitions(clean, table, max_records_per_file)
+    with _open_files(spark, order_by):
+        overwrite_table_partitions(clean, table, max_records_per_file)
     return report
 
 

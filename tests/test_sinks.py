@@ -1,5 +1,7 @@
 import glob
+import time
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -127,3 +129,35 @@ def test_pruned_read_lists_only_wanted_folders(spark, scratch):
     assert [tuple(r) for r in df.collect()] == [(3, "2025-02")]
     assert df.columns == ["id", "period"]
     assert read_partitioned(spark, out, periods="1999-01").count() == 0
+
+
+@pytest.mark.parametrize("tables", [False, True])
+def test_a_task_of_one_period_holds_no_rows(spark, ns, scratch, tables):
+    """Its file is open while it still reads: a sort by the key would take all rows first."""
+    out = f"{scratch}/out"
+    folder = out.removeprefix("file:")
+
+    def rows(batches):
+        for batch in batches:
+            yield batch
+        until = time.time() + 5
+        while not (found := glob.glob(f"{folder}/**/part-*", recursive=True)) and time.time() < until:
+            time.sleep(0.1)
+        yield pa.record_batch([pa.array([len(found)], pa.int64())], schema=batch.schema)
+
+    df = spark.range(0, 200_000, 1, 1).mapInArrow(rows, "id long").withColumn("period", F.when(F.col("id") >= 0, "2025-01"))
+    if tables:
+        write_table(df, f"{ns}.opened", folder=out)
+    else:
+        write_partitioned(df, out)
+    stored = spark.read.parquet(out)
+    assert stored.count() == 200_001 and stored.agg(F.sum("id")).first()[0] > 200_000 * 199_999 // 2
+
+
+def test_a_task_of_more_keys_than_open_files(spark, scratch):
+    df = spark.range(0, 10_000, 1, 1).withColumn("period", F.concat(F.lit("2025-"), F.lpad(F.col("id") % 12 + 1, 2, "0")))
+    report = write_partitioned(df, f"{scratch}/out", max_records_per_file=300)
+    stored = spark.read.option("basePath", f"{scratch}/out").parquet(f"{scratch}/out")
+    assert report.rows == 10_000 and len(report.keys) == 12
+    assert sorted(tuple(r) for r in stored.collect()) == sorted(tuple(r) for r in df.collect())
+    assert stored.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0] <= 300
